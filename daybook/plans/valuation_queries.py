@@ -125,7 +125,8 @@ EXECUTED_SQL = """
     EXECUTED_SQL
     + """
     SELECT CAST(record_date AS VARCHAR) AS record_date, market_code, asset_type, record, round(volume_kg, 2) AS volume_kg,
-           round(adjusted_price, 8) AS adjusted_price, round(mean - sd, 8) AS lower_band, round(mean + sd, 8) AS upper_band
+           round(adjusted_price, 8) AS adjusted_price, round(sd, 4) AS std_dev,
+           adjusted_price BETWEEN mean - sd - 0.001 AND mean + sd + 0.001 AS in_band
     FROM executed
     """,
 )
@@ -133,7 +134,8 @@ def normalized_executed_prices(t: Tables):
     return executed(t).select(
         day_text("record_date").alias("record_date"), "market_code", "asset_type", F.col("record_id").alias("record"),
         rounded("volume_kg", 2).alias("volume_kg"), rounded("adjusted_price", 8).alias("adjusted_price"),
-        rounded("lower_band", 8).alias("lower_band"), rounded("upper_band", 8).alias("upper_band"),
+        rounded("std_dev_price_per_kg", 4).alias("std_dev"),
+        F.col("adjusted_price").between(F.col("lower_band") - 0.001, F.col("upper_band") + 0.001).alias("in_band"),
     )
 
 
