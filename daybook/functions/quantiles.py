@@ -37,16 +37,18 @@ def exact_quantiles(
     )
     bounded = attach_per_key(rows, bounds, group, "_n")
     index = F.array(*[F.lit(i) for i in range(len(probabilities))])
+    # slot -1 and 1 gather what lies below and above; their nearest values serve an interpolation
+    # that reaches one rank over the edge
     placed = (
         bounded.withColumn("_i", F.explode(index))
         .withColumn("_lo", F.element_at("_low", F.col("_i") + 1))
         .withColumn("_hi", F.element_at("_high", F.col("_i") + 1))
-        .where(F.col("_v") <= F.col("_hi"))
-        .withColumn("_inside", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))
-        .groupBy(*group, "_i", "_inside")
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
+        .withColumn("_slot", F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0))
+        .withColumn("_inside", F.when(F.col("_slot") == 0, F.col("_v")))
+        .groupBy(*group, "_i", "_slot", "_inside")
+        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     )
-    order = Window.partitionBy(*group, "_i").orderBy(F.col("_inside").asc_nulls_first())
+    order = Window.partitionBy(*group, "_i").orderBy("_slot", "_inside")
     ranked = placed.withColumn(
         "_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ).withColumn("_before", F.col("_upto") - F.col("_c"))
@@ -56,7 +58,13 @@ def exact_quantiles(
     lower, upper = F.floor(position), F.ceil(position)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_upto")), F.col("_inside")))
+        slot = F.col("_slot")
+        inside = (slot == 0) & (F.col("_before") <= rank) & (rank < F.col("_upto"))
+        return F.max(
+            F.when(inside, F.col("_inside"))
+            .when((slot == -1) & (rank == F.col("_upto") - 1), F.col("_max"))
+            .when((slot == 1) & (rank == F.col("_before")), F.col("_min"))
+        )
 
     per_quantile = (
         ranked.withColumns({"_rl": lower, "_ru": upper, "_frac": position - lower})
