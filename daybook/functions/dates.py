@@ -15,14 +15,18 @@ def as_date(value: str | date | Column) -> Column:
 
 
 def age_months(end: Column, start: Column) -> Column:
-    """Whole calendar months from ``start`` to ``end``.
+    """Whole calendar months from ``start`` to ``end``, negative when ``end`` is earlier.
 
-    Counted by year, month and day of month, so 29 Feb minus 31 Jan is 0 months;
+    Counted by year, month, day of month and time of day, so 29 Feb minus 31 Jan is 0 months;
     ``months_between`` would call two month ends a whole month.
     """
-    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
-    unfinished = F.dayofmonth(end) < F.dayofmonth(start)
-    return (months - unfinished.cast("int")).cast("long")
+
+    def whole(later: Column, earlier: Column) -> Column:
+        months = (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
+        within = [F.struct(F.dayofmonth(c), F.hour(c), F.minute(c), F.second(c)) for c in (later, earlier)]
+        return months - (within[0] < within[1]).cast("int")
+
+    return F.when(end >= start, whole(end, start)).otherwise(-whole(start, end)).cast("long")
 
 
 def trading_date(ts: Column, timezone: str = "Africa/Lagos", cutoff_hour: int = 15) -> Column:
