@@ -35,7 +35,7 @@ def exact_quantiles(
         F.percentile_approx("_v", F.array(*low), F.lit(ACCURACY)).alias("_low"),
         F.percentile_approx("_v", F.array(*high), F.lit(ACCURACY)).alias("_high"),
     )
-    bounded = attach_per_key(rows, bounds, group, "_n")
+    bounded = attach_per_key(rows, bounds, group)
     index = F.array(*[F.lit(i) for i in range(len(probabilities))])
     # slot -1 and 1 gather what lies below and above; their nearest values serve an interpolation
     # that reaches one rank over the edge

@@ -5,43 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
+MAX_HOT_KEYS = 500
+TRACKED = 4096
 SALTS = 64
 
 
-def attach_per_key(
-    df: DataFrame,
-    per_key: DataFrame,
-    keys: list[str],
-    rows_in_key: str,
-    max_hot: int = MAX_HOT_KEYS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Left join ``df`` with ``per_key`` (one row per key) on null-safe equal keys.
+def hot_key_hashes(df: DataFrame, keys: list[str]) -> Column:
+    """Hashes of the keys that hold a large share of the rows, as a scalar array.
 
-    ``rows_in_key`` is a column of ``per_key`` that counts the rows of ``df`` in the key. Keys
-    with more than ``1/max_hot`` of all rows are hot; there are fewer than ``max_hot`` of them
-    whatever the data, so their list may be broadcast. Rows of hot keys are spread over
-    ``salts`` buckets, all other rows stay in one.
+    A frequent-items sketch finds them in one pass without a shuffle of rows. Any key above
+    about 0.2 % of all rows is found, and there are never more than ``MAX_HOT_KEYS``.
     """
-    total = per_key.agg(F.sum(rows_in_key).alias("n"))
-    hot = (
-        per_key.where(F.col(rows_in_key) * max_hot > total.scalar())
-        .select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(salts).alias("_salts"))
-    )
+    top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(MAX_HOT_KEYS), F.lit(TRACKED))
+    return df.agg(F.transform(top, lambda e: e["item"])).scalar()
 
-    def tag(side: DataFrame) -> DataFrame:
-        same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
-        tagged = side.join(F.broadcast(hot), same, "left").drop(*[f"_h_{k}" for k in keys])
-        return tagged.withColumn("_salts", F.coalesce("_salts", F.lit(1)))
-
-    spread = F.xxhash64(*[c for c in df.columns if c not in keys]) if set(df.columns) - set(keys) else F.lit(0)
-    left = tag(df).withColumn("_salt", F.pmod(spread, F.col("_salts")).cast("int")).drop("_salts")
-    right = (
-        tag(per_key)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-        .select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_salt").alias("_r_salt"),
-                *[c for c in per_key.columns if c not in keys])
+
+def attach_per_key(df: DataFrame, per_key: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
+    """Left join ``df`` with ``per_key`` (one row per key) on null-safe equal keys.
+
+    Rows of hot keys are spread over ``salts`` buckets and the key's single row is repeated for
+    each; all other keys stay in one bucket. Which keys are spread does not change the result.
+    """
+    buckets = F.when(F.array_contains(hot_key_hashes(df, keys), F.xxhash64(*keys)), salts).otherwise(1)
+    rest = [c for c in df.columns if c not in keys]
+    spread = F.xxhash64(*rest) if rest else F.lit(0)
+    left = df.withColumn("_salt", F.pmod(spread, buckets).cast("int"))
+    right = per_key.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), buckets - 1))).select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], "_r_salt", *[c for c in per_key.columns if c not in keys]
     )
     on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys] + [F.col("_salt") == F.col("_r_salt")]
     return left.join(right, on, "left").drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
@@ -53,7 +43,5 @@ def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -
     A window over the group would sort all its rows in one task; here the aggregates are
     combined before the shuffle and joined back with hot groups spread out.
     """
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[agg.alias(name) for name, agg in stats.items()]
-    )
-    return attach_per_key(df, per_key, keys, "_rows").drop("_rows")
+    per_key = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in stats.items()])
+    return attach_per_key(df, per_key, keys)

@@ -388,9 +388,7 @@ def within_quartile_limits_by(column: str, category: str, mostly: float = 1.0) -
     def failing(df: DataFrame) -> DataFrame:
         rows = df.where(F.col(column).isNotNull())
         fences = _fences(exact_quantiles(rows, [category], column, [0.25, 0.75]))
-        sizes = rows.groupBy(F.col(category).alias("_category")).agg(F.count(F.lit(1)).alias("_rows"))
-        per_key = fences.join(sizes, F.col(category).eqNullSafe(F.col("_category"))).drop("_category")
-        return attach_per_key(rows, per_key, [category], "_rows").drop("_rows").where(_outside(column))
+        return attach_per_key(rows, fences, [category]).where(_outside(column))
 
     return _rows_rule("within_quartile_limits_by", column, F.col(column).isNotNull(), failing, mostly)
 

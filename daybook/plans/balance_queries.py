@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators import balances
-from daybook.plans.registry import Tables, cents, day_text, query
+from daybook.plans.registry import Tables, cents, day_text, per_month, query
 
 THROUGH = "2001-08-31"
 EXCLUDED = ["P"]
@@ -91,9 +91,8 @@ _SPINE_SQL = """
 def daily_balance(t: Tables):
     """The dense table reported per customer and month (all its rows are used)."""
     dense = balances.daily_balance(t.orders, through=THROUGH, **ACCOUNT)
-    return dense.groupBy("o_custkey", F.date_format("date", "yyyy-MM").alias("month")).agg(
-        F.count("*").alias("days"),
-        cents("account_balance").alias("sum_balance"),
+    return per_month(
+        dense, ["o_custkey"], "date", F.count("*").alias("days"), cents("account_balance").alias("sum_balance"),
         F.max_by("account_balance", "date").alias("closing_balance"),
         day_text(F.max("latest_trans_at")).alias("latest_trans"),
     )
@@ -112,11 +111,12 @@ def daily_balance(t: Tables):
 def daily_balance_from_start(t: Tables):
     """Total balance per day with a calendar that starts after the first events."""
     dense = balances.daily_balance(t.orders, through=THROUGH, start="1997-01-01", **ACCOUNT)
-    return dense.groupBy(day_text("date").alias("date")).agg(
+    per_day = dense.groupBy("date").agg(
         F.count("*").alias("clients"),
         cents("account_balance").alias("total_balance"),
         day_text(F.min("latest_trans_at")).alias("oldest_trans"),
     )
+    return per_day.withColumn("date", day_text("date"))
 
 
 @query(

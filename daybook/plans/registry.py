@@ -52,6 +52,12 @@ def day_text(column: str | Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd")
 
 
+def per_month(df: DataFrame, keys: list[str | Column], day: str, *aggregates: Column) -> DataFrame:
+    """Aggregates per key and month; the month is made text after the rows are grouped."""
+    grouped = df.groupBy(*keys, F.trunc(day, "month").alias("month")).agg(*aggregates)
+    return grouped.withColumn("month", F.date_format("month", "yyyy-MM"))
+
+
 def days_text(column: str | Column) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return F.array_join(F.transform(c, lambda d: F.date_format(d, "yyyy-MM-dd")), ",")
@@ -69,6 +75,5 @@ def rounded(column: str | Column, digits: int = 6) -> Column:
 
 
 def cents(column: str | Column) -> Column:
-    """Exact sum of two-digit amounts."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
+    """Sum of two-digit amounts, to the cent."""
+    return rounded(F.sum(column), 2)

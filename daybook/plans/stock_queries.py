@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators import inventory, portfolio
-from daybook.plans.registry import Tables, cents, day_text, query, rounded
+from daybook.plans.registry import Tables, cents, day_text, per_month, query, rounded
 
 SINCE, THROUGH, AS_OF = "1995-03-01", "2001-12-31", "2002-01-01"
 SPECIAL = "Special"
@@ -182,10 +182,8 @@ def moved_volume_per_location(t: Tables):
 def portfolio_daily_balance(t: Tables):
     """The dense table reported per client, product, location and month."""
     dense = portfolio.portfolio_daily_balance(transactions(t), portfolio_locations(t), THROUGH)
-    return dense.groupBy(
-        F.col("client_id").alias("client"), "product_code", "location", "state",
-        F.date_format("portfolio_date", "yyyy-MM").alias("month"),
-    ).agg(
+    return per_month(
+        dense, [F.col("client_id").alias("client"), "product_code", "location", "state"], "portfolio_date",
         F.count("*").alias("days"), rounded(F.sum("total_portfolio_balance"), 2).alias("sum_balance"),
         day_text(F.max("latest_trans_at")).alias("latest_trans"),
     )
@@ -279,7 +277,8 @@ STOCK_ORDER = "l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DE
 def inventory_daily_balance(t: Tables):
     """The dense table reported per store, product, quality level and month."""
     dense = inventory.inventory_daily_balance(*stock_tables(t), through=THROUGH, tiebreak=STOCK_TIES)
-    return dense.groupBy("store_name", "product_code", "quality_level", F.date_format("inventory_date", "yyyy-MM").alias("month")).agg(
+    return per_month(
+        dense, ["store_name", "product_code", "quality_level"], "inventory_date",
         F.count("*").alias("days"), F.sum("current_reserved_units").alias("reserved_units"),
         F.sum("current_available_units").alias("available_units"), F.sum("current_total_units").alias("total_units"),
         rounded(F.sum("current_reserved_volume"), 4).alias("reserved_volume"),

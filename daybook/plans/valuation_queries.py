@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators import valuation
-from daybook.plans.registry import Tables, day_text, query, rounded
+from daybook.plans.registry import Tables, day_text, per_month, query, rounded
 
 FIRST, LAST = "1995-01-01", "2001-12-31"
 
@@ -279,7 +279,7 @@ def asset_prices(t: Tables):
                              F.col("kind").alias("asset_type"), F.col("n_name").alias("location"))
     geo = t.nation.select(F.col("n_name").alias("name"), F.col("n_name").alias("state"))
     priced = valuation.asset_prices(chained, assets, geo, transport(t), CLASSES, FIRST, LAST)
-    return priced.groupBy("asset_code", "location", F.date_format("date", "yyyy-MM").alias("month")).agg(
-        F.count("*").alias("days"), F.count("asset_acp").alias("priced_days"),
+    return per_month(
+        priced, ["asset_code", "location"], "date", F.count("*").alias("days"), F.count("asset_acp").alias("priced_days"),
         rounded(F.max_by("asset_acp", "date"), 4).alias("closing_acp"), rounded(F.min("asset_acp"), 4).alias("lowest_acp"),
     )
