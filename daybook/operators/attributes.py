@@ -41,29 +41,31 @@ def client_attributes(labels: DataFrame, demographics: DataFrame, as_of: str | d
 
 def impute(df: DataFrame, text: list[str], numbers: list[str]) -> DataFrame:
     """Missing text replaced by the column's mode, missing numbers by its median."""
-    fills = {}
+    out, fills = df, {}
     if text:
-        entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in text]
-        long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-        modes = most_frequent(long, ["column"], "value")
-        wide = modes.agg(F.struct(*[F.max(F.when(F.col("column") == c, F.col("mode"))).alias(c) for c in text]))
-        fills |= {c: F.coalesce(F.col(c), wide.scalar()[c]) for c in text}
+        modes = most_frequent(_long(df, text, "string"), ["column"], "value")
+        out = out.withColumn("_modes", _wide(modes, text, F.col("mode")).scalar())
+        fills |= {c: F.coalesce(F.col(c), F.col("_modes")[c]) for c in text}
     if numbers:
-        entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in numbers]
-        long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-        medians = exact_quantiles(long, ["column"], "value", [0.5])
-        wide = medians.agg(
-            F.struct(*[F.max(F.when(F.col("column") == c, F.col("quantiles")[0])).alias(c) for c in numbers])
-        )
-        fills |= {c: F.coalesce(F.col(c).cast("double"), wide.scalar()[c]) for c in numbers}
-    return df.withColumns(fills)
+        medians = exact_quantiles(_long(df, numbers, "double"), ["column"], "value", [0.5])
+        out = out.withColumn("_medians", _wide(medians, numbers, F.col("quantiles")[0]).scalar())
+        fills |= {c: F.coalesce(F.col(c).cast("double"), F.col("_medians")[c]) for c in numbers}
+    return out.withColumns(fills).drop("_modes", "_medians")
+
+
+def _long(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns]
+    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
+def _wide(rows: DataFrame, columns: list[str], value: Column) -> DataFrame:
+    """One row with a struct of the value per column."""
+    return rows.agg(F.struct(*[F.max(F.when(F.col("column") == c, value)).alias(c) for c in columns]))
 
 
 def class_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     """The code of every class: (column, value, code), numbered in sorted order from 0."""
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    return ordered_codes(long, "column", "value")
+    return ordered_codes(_long(df, columns, "string"), "column", "value")
 
 
 def label_encode(df: DataFrame, columns: list[str], codes: DataFrame | None = None) -> DataFrame:

@@ -131,7 +131,8 @@ def scaling(df: DataFrame, columns: list[str]) -> DataFrame:
 def standardize(df: DataFrame, columns: list[str], fitted: DataFrame | None = None) -> DataFrame:
     """Columns with mean 0 and population sd 1, by the statistics of ``fitted`` or of ``df`` itself."""
     stats = (fitted if fitted is not None else scaling(df, columns)).scalar()
-    return df.withColumns({c: (F.col(c) - stats[c]["mean"]) / stats[c]["sd"] for c in columns})
+    scaled = {c: (F.col(c) - F.col("_scaling")[c]["mean"]) / F.col("_scaling")[c]["sd"] for c in columns}
+    return df.withColumn("_scaling", stats).withColumns(scaled).drop("_scaling")
 
 
 def log_scale(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,26 +32,27 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """
     names = columns or df.columns
     numbers = [c for c in numeric_columns(df) if c in names]
-    text = F.when(~F.col("column").isin(numbers), F.col("value"))
-    counted = value_counts(df, names).groupBy("column").agg(
-        F.sum("rows").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("n_nulls"),
-        F.count("value").alias("n_distinct"), F.min(text).alias("min_text"), F.max(text).alias("max_text"),
-    )
-    if not numbers:
-        return counted
-    values = _melt(df, numbers, "double", "v")
-    moments = values.groupBy(F.col("column").alias("_c")).agg(
-        F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd")
-    )
-    quartiles = exact_quantiles(values, ["column"], "v", [0.25, 0.5, 0.75]).select(
-        F.col("column").alias("_q"), F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
-        F.col("quantiles")[2].alias("q3"),
-    )
-    return (
-        counted.join(moments, F.col("column") == F.col("_c"), "left")
-        .join(quartiles, F.col("column") == F.col("_q"), "left")
-        .drop("_c", "_q")
+    measures = F.array(*[_measures(c, c in numbers) for c in names])
+    one_pass = df.agg(measures.alias("m")).select(F.inline("m"))
+    distinct = value_counts(df, names).groupBy(F.col("column").alias("_d")).agg(F.count("value").alias("n_distinct"))
+    out = one_pass.join(distinct, F.col("column") == F.col("_d"), "left").drop("_d")
+    if numbers:
+        quartiles = exact_quantiles(_melt(df, numbers, "double", "v"), ["column"], "v", [0.25, 0.5, 0.75])
+        out = out.join(quartiles, "column", "left")
+    else:
+        out = out.withColumn("quantiles", F.lit(None).cast("array<double>"))
+    quartile = lambda i: F.col("quantiles")[i]
+    return out.withColumns({"q1": quartile(0), "median": quartile(1), "q3": quartile(2)}).drop("quantiles")
+
+
+def _measures(column: str, is_number: bool) -> Column:
+    number = F.col(column).cast("double") if is_number else F.lit(None).cast("double")
+    text = F.lit(None).cast("string") if is_number else F.col(column).cast("string")
+    rows = F.count(F.lit(1))
+    return F.struct(
+        F.lit(column).alias("column"), rows.alias("n_rows"), (rows - F.count(column)).alias("n_nulls"),
+        F.min(text).alias("min_text"), F.max(text).alias("max_text"), F.min(number).alias("min"),
+        F.max(number).alias("max"), F.avg(number).alias("mean"), F.stddev_samp(number).alias("sd"),
     )
 
 
@@ -64,9 +65,6 @@ def suggest_rules(
     """
     names = [c for c in (columns or df.columns) if c not in (exclude or [])]
     p = profile(df, names)
-    for missing in ("min", "max"):
-        if missing not in p.columns:
-            p = p.withColumn(missing, F.lit(None).cast("double"))
     few = p.where(F.col("n_distinct").between(1, max_set)).select(F.col("column").alias("_c"))
     sets = (
         value_counts(df, names).where("value IS NOT NULL").join(F.broadcast(few), F.col("column") == F.col("_c"))

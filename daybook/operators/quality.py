@@ -279,12 +279,13 @@ def _rows_rule(rule: str, column: str, evaluated: Column, failing: Callable[[Dat
 
 def within_historical_range(column: str, history: DataFrame, history_column: str, deviations: float = 3) -> GroupRule:
     """Values within mean +- ``deviations`` sample sd of another table."""
-    stats = history.agg(F.avg(history_column).alias("m"), F.stddev_samp(history_column).alias("s"))
-    upper = stats.select(F.col("m") + F.col("s") * deviations)
-    lower = stats.select(F.col("m") - F.col("s") * deviations)
+    mean, sd = F.avg(history_column), F.stddev_samp(history_column)
+    limits = history.agg(F.struct((mean - sd * deviations).alias("lower"), (mean + sd * deviations).alias("upper")))
 
     def failing(df: DataFrame) -> DataFrame:
-        bounded = df.withColumns({"lower_bound": lower.scalar(), "upper_bound": upper.scalar()})
+        bounded = df.withColumn("_limits", limits.scalar()).withColumns(
+            {"lower_bound": F.col("_limits.lower"), "upper_bound": F.col("_limits.upper")}
+        ).drop("_limits")
         return bounded.where((F.col(column) > F.col("upper_bound")) | (F.col(column) < F.col("lower_bound")))
 
     return _rows_rule("within_historical_range", column, F.col(column).isNotNull(), failing)
@@ -376,8 +377,9 @@ def within_quartile_limits(column: str, mostly: float = 1.0) -> GroupRule:
 
     def failing(df: DataFrame) -> DataFrame:
         fences = _fences(exact_quantiles(df, [], column, [0.25, 0.75]))
-        limits = {"lower": fences.select("lower").scalar(), "upper": fences.select("upper").scalar()}
-        return df.withColumns(limits).where(_outside(column))
+        limits = fences.select(F.struct("lower", "upper")).scalar()
+        fenced = df.withColumn("_limits", limits).withColumns({"lower": F.col("_limits.lower"), "upper": F.col("_limits.upper")})
+        return fenced.drop("_limits").where(_outside(column))
 
     return _rows_rule("within_quartile_limits", column, F.col(column).isNotNull(), failing, mostly)
 
