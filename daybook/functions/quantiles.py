@@ -17,9 +17,16 @@ ACCURACY = 50_000
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str | Column, probabilities: list[float], name: str = "quantiles"
+    df: DataFrame, keys: list[str], value: str | Column, probabilities: list[float], name: str = "quantiles",
+    few_keys: bool = False,
 ) -> DataFrame:
-    """One row per key with the array ``name`` of quantiles in the order of ``probabilities``."""
+    """One row per key with the array ``name`` of quantiles in the order of ``probabilities``.
+
+    ``few_keys`` says that the number of keys has a bound that does not grow with the data, such
+    as the columns of a table or the clusters of a model. The intervals then reach the rows by
+    broadcast and the rows are not shuffled; without keys they are a single scalar. Otherwise
+    rows and intervals are joined with hot keys spread out.
+    """
     column = F.col(value) if isinstance(value, str) else value
     rows = df.select(*keys, column.cast("double").alias("_v")).where("_v IS NOT NULL")
     if not keys:
@@ -35,7 +42,15 @@ def exact_quantiles(
         F.percentile_approx("_v", F.array(*low), F.lit(ACCURACY)).alias("_low"),
         F.percentile_approx("_v", F.array(*high), F.lit(ACCURACY)).alias("_high"),
     )
-    bounded = attach_per_key(rows, bounds, group)
+    if not keys:
+        fields = F.struct("_n", "_low", "_high")
+        bounded = rows.withColumn("_b", bounds.select(fields).scalar()).select("_all", "_v", "_b.*")
+    elif few_keys:
+        renamed = bounds.withColumnsRenamed({k: f"_r_{k}" for k in group})
+        same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in group]
+        bounded = rows.join(F.broadcast(renamed), same).drop(*[f"_r_{k}" for k in group])
+    else:
+        bounded = attach_per_key(rows, bounds, group)
     index = F.array(*[F.lit(i) for i in range(len(probabilities))])
     # slot -1 and 1 gather what lies below and above; their nearest values serve an interpolation
     # that reaches one rank over the edge

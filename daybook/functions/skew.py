@@ -20,13 +20,17 @@ def hot_key_hashes(df: DataFrame, keys: list[str]) -> Column:
     return df.agg(F.transform(top, lambda e: e["item"])).scalar()
 
 
-def attach_per_key(df: DataFrame, per_key: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
+def attach_per_key(
+    df: DataFrame, per_key: DataFrame, keys: list[str], salts: int = SALTS, hot: Column | None = None
+) -> DataFrame:
     """Left join ``df`` with ``per_key`` (one row per key) on null-safe equal keys.
 
     Rows of hot keys are spread over ``salts`` buckets and the key's single row is repeated for
-    each; all other keys stay in one bucket. Which keys are spread does not change the result.
+    each; all other keys stay in one bucket. Which keys are spread does not change the result,
+    so ``hot`` may come from an earlier form of the rows.
     """
-    buckets = F.when(F.array_contains(hot_key_hashes(df, keys), F.xxhash64(*keys)), salts).otherwise(1)
+    hashes = hot_key_hashes(df, keys) if hot is None else hot
+    buckets = F.when(F.array_contains(hashes, F.xxhash64(*keys)), salts).otherwise(1)
     rest = [c for c in df.columns if c not in keys]
     spread = F.xxhash64(*rest) if rest else F.lit(0)
     left = df.withColumn("_salt", F.pmod(spread, buckets).cast("int"))

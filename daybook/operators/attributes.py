@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.quantiles import exact_quantiles, most_frequent
 from daybook.functions.ranks import ordered_codes
+from daybook.functions.skew import attach_per_key, hot_key_hashes
 
 # fixed values: what counts as a web address and which referral codes are ours
 WEBSITE = r"^(http[s]?://|www)[^\s]+[.]\w{2,}[/]?$"
@@ -47,7 +48,7 @@ def impute(df: DataFrame, text: list[str], numbers: list[str]) -> DataFrame:
         out = out.withColumn("_modes", _wide(modes, text, F.col("mode")).scalar())
         fills |= {c: F.coalesce(F.col(c), F.col("_modes")[c]) for c in text}
     if numbers:
-        medians = exact_quantiles(_long(df, numbers, "double"), ["column"], "value", [0.5])
+        medians = exact_quantiles(_long(df, numbers, "double"), ["column"], "value", [0.5], few_keys=True)
         out = out.withColumn("_medians", _wide(medians, numbers, F.col("quantiles")[0]).scalar())
         fills |= {c: F.coalesce(F.col(c).cast("double"), F.col("_medians")[c]) for c in numbers}
     return out.withColumns(fills).drop("_modes", "_medians")
@@ -71,14 +72,15 @@ def class_codes(df: DataFrame, columns: list[str]) -> DataFrame:
 def label_encode(df: DataFrame, columns: list[str], codes: DataFrame | None = None) -> DataFrame:
     """Columns replaced by their class codes, from ``codes`` (of training data) or their own.
 
-    A value without code becomes null.
+    A value without code becomes null. A frequent class is spread over tasks in the join.
     """
     table = class_codes(df, columns) if codes is None else codes
-    out = df
+    texts = df.withColumns({c: F.col(c).cast("string") for c in columns})
+    out = texts
     for c in columns:
-        mine = table.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-        out = out.join(mine, F.col(c).cast("string") == F.col("_value"), "left")
-        out = out.withColumn(c, F.col("_code")).drop("_value", "_code")
+        mine = table.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
+        coded = attach_per_key(out, mine, [c], hot=hot_key_hashes(texts, [c]))
+        out = coded.withColumn(c, F.col("_code")).drop("_code")
     return out
 
 

@@ -37,7 +37,7 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     distinct = value_counts(df, names).groupBy(F.col("column").alias("_d")).agg(F.count("value").alias("n_distinct"))
     out = one_pass.join(distinct, F.col("column") == F.col("_d"), "left").drop("_d")
     if numbers:
-        quartiles = exact_quantiles(_melt(df, numbers, "double", "v"), ["column"], "v", [0.25, 0.5, 0.75])
+        quartiles = exact_quantiles(_melt(df, numbers, "double", "v"), ["column"], "v", [0.25, 0.5, 0.75], few_keys=True)
         out = out.join(quartiles, "column", "left")
     else:
         out = out.withColumn("quantiles", F.lit(None).cast("array<double>"))

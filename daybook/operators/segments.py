@@ -64,7 +64,7 @@ def cluster_profile(df: DataFrame, cluster: str, columns: list[str]) -> DataFram
     moments = long.groupBy(cluster, "attribute").agg(
         F.count("value").alias("clients"), F.avg("value").alias("mean"), F.sum("value").alias("total")
     )
-    quartiles = exact_quantiles(long, [cluster, "attribute"], "value", [0.25, 0.5, 0.75])
+    quartiles = exact_quantiles(long, [cluster, "attribute"], "value", [0.25, 0.5, 0.75], few_keys=True)
     return moments.join(quartiles, [cluster, "attribute"], "left").select(
         cluster, "attribute", "clients", "mean", "total", F.col("quantiles")[0].alias("q1"),
         F.col("quantiles")[1].alias("q2"), F.col("quantiles")[2].alias("q3"),

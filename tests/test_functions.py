@@ -2,6 +2,7 @@ import random
 from datetime import date, datetime
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions import crypto, dates, latest, quantiles, ranks, skew, text
@@ -47,13 +48,14 @@ def test_latest_row_uses_tiebreak(table):
     assert got == {"a": "z", None: "n"}
 
 
-def test_quantiles_match_numpy_with_hot_key(spark):
+@pytest.mark.parametrize("few_keys", [False, True])
+def test_quantiles_match_numpy_with_hot_key(spark, few_keys):
     rng = random.Random(7)
     rows = [("hot", float(rng.randint(0, 50))) for _ in range(4000)] + [("n%d" % (i % 300), rng.random()) for i in range(4000)]
     rows += [("one", 5.0), ("two", 1.0), ("two", 2.0), ("null", None)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(7)
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = {r.k: r.quantiles for r in quantiles.exact_quantiles(df, ["k"], "v", probabilities).collect()}
+    got = {r.k: r.quantiles for r in quantiles.exact_quantiles(df, ["k"], "v", probabilities, few_keys=few_keys).collect()}
     want = {}
     for k, v in rows:
         if v is not None:
