@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,5 +122,17 @@ def hold_until_next(
     return held.drop("_held_until", day).withColumnRenamed("_held_day", day)
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def fill_calendar(
+    daily: DataFrame, keys: list[str], day: str, first: Column, last: Column, values: list[str]
+) -> DataFrame:
+    """Every key on every day of ``[first, last]``; ``values`` are null on days without a row.
+
+    ``daily`` has one row per key and day. Each row is stretched over the days up to the next
+    one, so the table is read once and joined with nothing.
+    """
+    w = Window.partitionBy(*keys).orderBy(day)
+    start = F.when(F.row_number().over(w) == 1, first).otherwise(F.greatest(F.col(day), first))
+    until = F.least(last, F.coalesce(F.date_sub(F.lead(day).over(w), 1), last))
+    stretched = explode_days(daily.withColumns({"_from": start, "_until": until}), F.col("_from"), F.col("_until"), "_on")
+    own = F.col("_on") == F.col(day)
+    return stretched.select(*keys, F.col("_on").alias(day), *[F.when(own, F.col(v)).alias(v) for v in values])

@@ -14,12 +14,13 @@ from daybook.functions.dates import as_date, explode_days
 from daybook.functions.latest import latest_row
 
 BREAKDOWN = "array<struct<volume:string,location_code:string>>"
+LISTS = ["location_breakdown", "location_breakdown_before", "location_breakdown_after"]
 KEYS = ["client_id", "product_code", "location_code_after"]
 
 
 def describe_log(log: DataFrame, products: DataFrame, locations: DataFrame, since: str | Column,
                  special_type: str) -> DataFrame:
-    """Log rows from ``since`` with product type, code and maturity, and the location code.
+    """Log rows from ``since`` with product type, code and maturity, the location code and parsed lists.
 
     ``products``: id, product_type, product_code, maturity_date; ``locations``: id, code, name,
     state. Rows of the special type without location are left out.
@@ -33,8 +34,9 @@ def describe_log(log: DataFrame, products: DataFrame, locations: DataFrame, sinc
         .join(location, F.col("location_id") == F.col("_lid"), "left")
         .drop("_pid", "_lid")
     )
+    parsed = {c: F.from_json(c, BREAKDOWN) for c in LISTS}
     useless = (F.col("product_type") == special_type) & F.col("location_id").isNull()
-    return described.where(~useless).withColumn("is_special", F.col("product_type") == special_type)
+    return described.where(~useless).withColumns({**parsed, "is_special": F.col("product_type") == special_type})
 
 
 def expand_location_breakdown(described: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def expand_location_breakdown(described: DataFrame) -> DataFrame:
     unplaced = F.array(F.struct(F.lit(None).cast("string").alias("volume"), F.lit(None).cast("string").alias("location_code")))
 
     def entries(column: str) -> Column:
-        return F.coalesce(F.from_json(column, BREAKDOWN), unplaced)
+        return F.coalesce(F.col(column), unplaced)
 
     steps = F.posexplode(F.arrays_zip(entries("location_breakdown_before").alias("before"),
                                       entries("location_breakdown_after").alias("after")))
@@ -73,8 +75,7 @@ def moved_volume_per_location(expanded: DataFrame) -> DataFrame:
     The list is part of the same log row, so it is searched in place instead of being exploded
     and joined back. A location listed twice gives two rows, none gives the transaction's units.
     """
-    moved = F.filter(F.from_json("location_breakdown", BREAKDOWN),
-                     lambda x: x["location_code"] == F.col("location_code_after"))
+    moved = F.filter("location_breakdown", lambda x: x["location_code"] == F.col("location_code_after"))
     rows = expanded.withColumn("_moved", F.explode_outer(moved))
     units = F.col("units").cast("double")
     volume = F.col("_moved.volume").cast("double")

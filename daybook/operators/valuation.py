@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.functions.dates import as_date, trading_date
+from daybook.functions.dates import as_date, fill_calendar, trading_date
 from daybook.functions.skew import with_group_stats
 
 # fixed values: market code prefix (upper case) and its weight
@@ -145,8 +145,7 @@ def mean_market_prices(
         *markets, "date", F.sum("_value").over(by_market).alias("market_value"),
         F.sum("_volume").over(by_market).alias("market_volume"),
     )
-    days = F.explode(F.sequence(as_date(first_day), as_date(last_day)))
-    grid = traded.select(*markets).distinct().withColumn("date", days)
+    filled = fill_calendar(traded, markets, "date", as_date(first_day), as_date(last_day), ["market_value", "market_volume"])
     sells, buys = F.col("transaction_type") == sell, F.col("transaction_type") == buy
     price, volume = F.col("adjusted_order_price"), F.col("requested_volume_kg")
     both = open_orders.groupBy(F.col("asset_code").alias("market_code"), F.col("adjusted_trade_time").alias("date")).agg(
@@ -162,11 +161,7 @@ def mean_market_prices(
         F.nullif(total, F.lit(0.0)).alias("total_market_order_volume"),
     )
     return (
-        grid.join(traded.select(*[F.col(m).alias(f"_{m}") for m in markets], F.col("date").alias("_date"),
-                                "market_value", "market_volume"),
-                  [F.col(m).eqNullSafe(F.col(f"_{m}")) for m in markets] + [F.col("date") == F.col("_date")], "left")
-        .drop(*[f"_{m}" for m in markets], "_date")
-        .withColumn("market_price", F.col("market_value") / F.nullif(F.col("market_volume"), F.lit(0.0)))
+        filled.withColumn("market_price", F.col("market_value") / F.nullif(F.col("market_volume"), F.lit(0.0)))
         .join(mid, ["market_code", "date"], "left")
         .withColumns({
             "final_market_price": F.coalesce("market_price", "mean_open_price"),

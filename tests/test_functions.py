@@ -118,3 +118,11 @@ def test_unreadable_document_names_file(table):
     df = table("n string, c binary", ("a.pdf", bytearray(b"%PDF")), ("b.txt", bytearray(b"ok")), ("c.txt", bytearray(b"\xff\xfe")))
     got = [r.t for r in df.select(text.document_text(F.col("n"), F.col("c")).alias("t")).collect()]
     assert got == ["No Text In CV With Filename: a.pdf", "ok", "No Text In CV With Filename: c.txt"]
+
+
+def test_fill_calendar(table):
+    df = table("k string, d date, v int", ("a", date(2023, 12, 25), 1), ("a", date(2024, 1, 2), 2), ("b", date(2023, 1, 1), 3),
+               ("b", date(2023, 12, 31), 4), ("c", date(2024, 2, 1), 5), ("e", date(2024, 1, 3), None))
+    rows = dates.fill_calendar(df, ["k"], "d", dates.as_date("2024-01-01"), dates.as_date("2024-01-03"), ["v"]).collect()
+    assert len(rows) == 12 and len({(r.k, r.d) for r in rows}) == 12
+    assert [(r.k, r.d.day, r.v) for r in rows if r.v is not None] == [("a", 2, 2)]
