@@ -301,7 +301,7 @@ def demographics(t: Tables):
         F.col("c_custkey").alias("client_id"), F.col("url").alias("company_website"), code.alias("used_referral_code"),
         founded.alias("date_of_incorporation"), F.when(key % 13 != 0, F.col("c_mktsegment")).alias("nature_of_business"),
         F.concat(F.lit("NATION_"), "c_nationkey").alias("country"), F.when(key % 17 != 0, F.col("c_acctbal")).alias("income"),
-        F.date_add(F.lit("2020-01-01").cast("date"), (key * 7 % 2000).cast("int")).cast("timestamp").alias("created"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (key * 37 % 2000).cast("int")).cast("timestamp").alias("created"),
     )
 
 
@@ -320,7 +320,7 @@ DEMOGRAPHIC_SQL = r"""
                'NATION_' || c_nationkey AS country, CASE WHEN c_custkey % 17 <> 0 THEN c_acctbal END AS income,
                CASE WHEN c_custkey % 3 = 0 THEN 'COMX' || c_nationkey WHEN c_custkey % 3 = 1 THEN 'X' || c_nationkey END AS code,
                CASE WHEN c_custkey % 9 <> 0 AND c_custkey % 11 <> 0 THEN DATE '1980-01-01' + CAST(c_custkey * 13 % 7000 AS INT) END AS founded,
-               DATE '2020-01-01' + CAST(c_custkey * 7 % 2000 AS INT) AS created,
+               DATE '2020-01-01' + CAST(c_custkey * 37 % 2000 AS INT) AS created,
                CASE WHEN c_acctbal < 2000 THEN 'Low Value Individual' WHEN c_acctbal < 6000 THEN 'Mid Value Individual'
                     ELSE 'High Value Individual' END AS predicted_cluster
         FROM customer LEFT JOIN pages ON c_custkey = page_id),
