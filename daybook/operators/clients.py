@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 from daybook.functions.dates import age_months, as_date
 from daybook.functions.latest import first_row
 
+# fixed values: the statuses, systems, kinds and origins that the measures select
+RECONCILED, TRADE_SYSTEM = "Reconciled", "X4"
+BUY, SELL = "Acquire", "Release"
+DEPOSIT, WITHDRAWAL, CLEARED = "Funding", "PayoutRequest", "Cleared Debit"
+WALLET_SYSTEM, WALLET_CURRENCY = "NXMARKET", "USD"
+
 RFMT_COLUMNS = [
     "client_tenure_months", "trade_freq", "last90days_trade_freq", "buy_trade_freq", "sell_trade_freq",
     "trade_recency_months", "trade_tenure_months", "trade_value", "available_balance", "cash_advance_balance",
@@ -36,14 +42,14 @@ def rfmt_features(
     months = lambda c: age_months(now, c)
 
     reconciled = trades.where(
-        (F.col("trade_status_summary") == "Reconciled") & (F.col("system_name").isNull() | (F.col("system_name") == "X4"))
+        (F.col("trade_status_summary") == RECONCILED) & (F.col("system_name").isNull() | (F.col("system_name") == TRADE_SYSTEM))
     )
     record = F.col("record_id")
     trading = reconciled.groupBy(F.col("client_id").alias("_trader")).agg(
         F.count(record).alias("trade_freq"),
         F.count(F.when(recent("trade_timestamp"), record)).alias("last90days_trade_freq"),
-        F.count(F.when(F.col("transaction_type") == "Acquire", record)).alias("buy_trade_freq"),
-        F.count(F.when(F.col("transaction_type") == "Release", record)).alias("sell_trade_freq"),
+        F.count(F.when(F.col("transaction_type") == BUY, record)).alias("buy_trade_freq"),
+        F.count(F.when(F.col("transaction_type") == SELL, record)).alias("sell_trade_freq"),
         F.sum("adjusted_order_value").alias("trade_value"),
         months(F.max("trade_timestamp")).alias("trade_recency_months"),
         months(F.min("trade_timestamp")).alias("trade_tenure_months"),
@@ -53,8 +59,8 @@ def rfmt_features(
         months(F.min("deal_timestamp")).alias("loan_tenure_months"),
         months(F.max("deal_timestamp")).alias("loan_recency_months"),
     )
-    funding = F.col("transaction_origin") == "Funding"
-    payout = (F.col("transaction_origin") == "PayoutRequest") & (F.col("transaction_type") == "Cleared Debit")
+    funding = F.col("transaction_origin") == DEPOSIT
+    payout = (F.col("transaction_origin") == WITHDRAWAL) & (F.col("transaction_type") == CLEARED)
 
     def moves(name: str, kind: Column) -> list[Column]:
         when = F.when(kind, F.col("created"))
@@ -68,7 +74,7 @@ def rfmt_features(
     moved = wallet_transactions.where(funding | payout).groupBy(F.col("client_id").alias("_mover")).agg(
         *moves("deposit", funding), *moves("withdrawal", payout)
     )
-    balances = wallets.where((F.col("system_name") == "NXMARKET") & (F.col("payment_currency") == "USD")).select(
+    balances = wallets.where((F.col("system_name") == WALLET_SYSTEM) & (F.col("payment_currency") == WALLET_CURRENCY)).select(
         F.col("client_id").alias("_holder"), "available_balance", "cash_advance_balance"
     )
     joined = (
