@@ -23,26 +23,30 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def maybe_in(df: DataFrame, key: Column, keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> DataFrame:
+def _bitmap(hashed: DataFrame, bits: int) -> DataFrame:
+    """(__w, __bits): a bitmap of the column ``__hash`` in at most ``bits / 64`` rows."""
+    slots = hashed.select(F.pmod("__hash", F.lit(bits)).alias("__slot"))
+    words_ = slots.select(F.expr("__slot div 64").alias("__w"), F.expr("shiftleft(1L, cast(__slot % 64 as int))").alias("__bit"))
+    return words_.groupBy("__w").agg(F.bit_or("__bit").alias("__bits"))
+
+
+def _marked(df: DataFrame, hashed: Column, bitmap: DataFrame, bits: int, how: str) -> DataFrame:
+    """``df`` with ``__maybe``: whether the bitmap has the hash."""
+    df = df.withColumn("__slot", F.pmod(hashed, F.lit(bits))).withColumn("__word", F.expr("__slot div 64"))
+    df = df.join(F.broadcast(bitmap), F.col("__word") == F.col("__w"), how)
+    return df.withColumn("__maybe", F.coalesce(F.expr("shiftright(__bits, cast(__slot % 64 as int)) & 1 = 1"), F.lit(False)))
+
+
+def maybe_in(df: DataFrame, key: Column, keys: DataFrame, column: str, bits: int = BITMAP_BITS, inside: bool = True) -> DataFrame:
     """The rows of ``df`` whose ``key`` may be in ``keys[column]``; a few others stay, none is lost.
 
-    The keys become a bitmap of ``bits`` bits, held as at most ``bits / 64`` rows whatever the number of
-    keys, so it can be broadcast. It only thins out what a join after it shuffles; when it fills up, more
-    rows pass and that join does the work.
+    With ``inside`` False the other rows: those whose key is surely not there. The keys become a bitmap of ``bits`` bits,
+    held as at most ``bits / 64`` rows whatever the number of keys, so it can be broadcast. It only thins out what a join after
+    it shuffles; when it fills up, more rows pass and that join does the work.
     """
-    slots = keys.select(F.pmod(F.xxhash64(column), F.lit(bits)).alias("__slot"))
-    words = (
-        slots.select(F.expr("__slot div 64").alias("__word"), F.expr("shiftleft(1L, cast(__slot % 64 as int))").alias("__bit"))
-        .groupBy("__word")
-        .agg(F.bit_or("__bit").alias("__bits"))
-    )
-    return (
-        df.withColumn("__slot", F.pmod(F.xxhash64(key), F.lit(bits)))
-        .withColumn("__word", F.expr("__slot div 64"))
-        .join(F.broadcast(words), "__word")
-        .where(F.expr("shiftright(__bits, cast(__slot % 64 as int)) & 1 = 1"))
-        .drop("__word", "__slot", "__bits")
-    )
+    bitmap = _bitmap(keys.select(F.xxhash64(column).alias("__hash")), bits)
+    marked = _marked(df, F.xxhash64(key), bitmap, bits, "inner" if inside else "left")
+    return marked.where("__maybe" if inside else "not __maybe").select(*df.columns)
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -134,17 +138,8 @@ def without(df: DataFrame, keys: dict[str, Column], losers: DataFrame) -> DataFr
     named = [f"__key_{k}" for k in keys]
     keyed = df.withColumns({f"__key_{k}": c for k, c in keys.items()})
     losers = losers.select(*[F.col(k).alias(f"__lost_{k}") for k in keys]).distinct()
-    hashed = losers.select(F.xxhash64(*[f"__lost_{k}" for k in keys]).alias("__hash"))
-    slots = hashed.select(F.pmod(F.xxhash64("__hash"), F.lit(BITMAP_BITS)).alias("__slot"))
-    words_ = (
-        slots.select(F.expr("__slot div 64").alias("__w"), F.expr("shiftleft(1L, cast(__slot % 64 as int))").alias("__bit"))
-        .groupBy("__w")
-        .agg(F.bit_or("__bit").alias("__bits"))
-    )
-    keyed = keyed.withColumn("__slot", F.pmod(F.xxhash64(F.xxhash64(*named)), F.lit(BITMAP_BITS))).withColumn("__word", F.expr("__slot div 64"))
-    marked = keyed.join(F.broadcast(words_), F.col("__word") == F.col("__w"), "left").withColumn(
-        "__maybe", F.coalesce(F.expr("shiftright(__bits, cast(__slot % 64 as int)) & 1 = 1"), F.lit(False))
-    )
+    bitmap = _bitmap(losers.select(F.xxhash64(*[f"__lost_{k}" for k in keys]).alias("__hash")), BITMAP_BITS)
+    marked = _marked(keyed, F.xxhash64(*named), bitmap, BITMAP_BITS, "left")
     same = [F.col(f"__key_{k}").eqNullSafe(F.col(f"__lost_{k}")) for k in keys]
     kept = marked.where("not __maybe").select(*df.columns)
     return kept.unionAll(marked.where("__maybe").join(losers, same, "left_anti").select(*df.columns))
@@ -176,3 +171,15 @@ def components(edges: DataFrame) -> DataFrame:
             break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
+
+
+def one_of_each(df: DataFrame, keys: dict[str, Column], lost: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``df`` without the rows in ``lost``, and with one row for each key in ``repeated`` (which must be among the lost)."""
+    kept = without(df, keys, lost)
+    if not repeated.take(1):
+        return kept
+    named = {f"__key_{k}": c for k, c in keys.items()}
+    wanted = repeated.select(*[F.col(k).alias(f"__of_{k}") for k in keys]).distinct()
+    same = [F.col(f"__key_{k}").eqNullSafe(F.col(f"__of_{k}")) for k in keys]
+    again = df.withColumns(named).join(wanted, same, "left_semi").dropDuplicates(list(named))
+    return kept.unionAll(again.select(*df.columns))

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import store, without
+from daybook.llm.common import one_of_each, store
 
 BUCKET_ROWS = 20_000
 MAX_DEPTH = 16
@@ -90,10 +90,4 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     repeated = verdicts.where(F.col(id_column).eqNullSafe(F.col("keep_id")) & ~F.col("kept"))
     repeated = repeated.select(F.col(id_column).alias("id"), F.col("text_sha256").alias("digest")).distinct()
     keys = {"id": F.col(id_column), "digest": F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)}
-    kept = without(docs, keys, lost)
-    again = docs.withColumns({"__id": keys["id"], "__digest": keys["digest"]}).join(
-        repeated, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__digest") == F.col("digest")), "left_semi"
-    ) if repeated.take(1) else None
-    if again is None:
-        return kept
-    return kept.unionAll(again.dropDuplicates(["__id", "__digest"]).select(*docs.columns))
+    return one_of_each(docs, keys, lost, repeated)

@@ -98,3 +98,36 @@ def op3_toxicity(spark, folder):
     from daybook.llm.toxicity import toxicity
 
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(
+    "op1_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+    d AS (SELECT page_id, t, max(page_id) OVER (PARTITION BY t) AS keep, sha1(t) AS s FROM p)
+    SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+           list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             CAST((CAST('0x' || substr(s, (i // 4) * 5 + 1, 5) AS INTEGER) >> CAST((3 - i % 4) * 5 AS INTEGER)) & 31 AS INTEGER) + 1, 1)
+             FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> keep THEN keep END AS refers_to
+    FROM d
+    """,
+)
+def op1_warc(spark, folder):
+    from daybook.llm import warc
+    from daybook.session import fresh_path
+
+    store_path, files = fresh_path(spark, "warc-store"), fresh_path(spark, "warc-files")
+    warc.archive(table(spark, folder, "pages"), store_path)
+    warc.export(warc.records(spark, store_path), files)
+    found = warc.read(spark, files, with_content=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_repeated_text")
+def op5_repeated_text(spark, folder):
+    from daybook.llm.repeated_text import remove_repeated
+
+    found = remove_repeated(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
