@@ -131,3 +131,24 @@ def op5_repeated_text(spark, folder):
 
     found = remove_repeated(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_personal_data")
+def op6_personal_data(spark, folder):
+    from daybook.llm.personal_data import report
+
+    return report(table(spark, folder, "documents"))
+
+
+@query("op4_html_text")
+def op4_html_text(spark, folder):
+    from daybook.llm.html_text import extract
+
+    return extract(table(spark, folder, "pages"))
+
+
+@query("op2_line_templates")
+def op2_line_templates(spark, folder):
+    from daybook.llm.line_templates import drop_recurring_lines
+
+    return drop_recurring_lines(table(spark, folder, "documents"))
