@@ -142,7 +142,9 @@ def without(df: DataFrame, keys: dict[str, Column], losers: DataFrame) -> DataFr
     marked = _marked(keyed, F.xxhash64(*named), bitmap, BITMAP_BITS, "left")
     same = [F.col(f"__key_{k}").eqNullSafe(F.col(f"__lost_{k}")) for k in keys]
     kept = marked.where("not __maybe").select(*df.columns)
-    return kept.unionAll(marked.where("__maybe").join(losers, same, "left_anti").select(*df.columns))
+    # an anti join would be moved below the bitmap
+    checked = marked.where("__maybe").join(losers.withColumn("__lost", F.lit(True)), same, "left")
+    return kept.unionAll(checked.where("__lost is null").select(*df.columns))
 
 
 def components(edges: DataFrame) -> DataFrame:

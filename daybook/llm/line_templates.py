@@ -76,9 +76,9 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     lines = store(texts.select("row", "text").mapInArrow(lambda b: _leaves(b, depth, arrow), shape), "line-leaves")
     busy = lines.groupBy("leaf").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.count(F.lit(1)).alias("n"))
     busy = store(busy.where((F.col("n") >= min_docs) & (F.col("low") < F.col("high"))).select("leaf"), "line-busy")
-    reached = maybe_in(lines, F.col("leaf"), busy, "leaf").join(busy, "leaf", "left_semi")
+    reached = maybe_in(lines, F.col("leaf"), busy, "leaf").join(busy, "leaf")
     per_leaf = reached.select("leaf", "row").distinct().groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
-    held = reached.join(per_leaf, "leaf", "left_semi").groupBy("row").agg(F.collect_list(F.struct("line", "leaf")).alias("lines"))
+    held = reached.join(per_leaf, "leaf").groupBy("row").agg(F.collect_list(F.struct("line", "leaf")).alias("lines"))
     held = store(held.withColumnRenamed("row", "of"), "line-held")
     shape = spark.createDataFrame([], "row long, line int, leaf long, place int, word string").schema
     arrow_words = to_arrow_schema(shape)

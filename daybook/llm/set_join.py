@@ -249,7 +249,8 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     active = stars.select("h").unionAll(stars.select(F.col("lead").alias("h"))).distinct()
     chosen = store(classes.join(active, "h").select(F.col("rep").alias("chosen"), F.col("h").alias("of")), "set-chosen")
-    needed = maybe_in(texts.select("id", "text"), F.col("id"), chosen, "chosen").join(chosen.select("chosen").distinct(), F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
+    # not a semi join: that would be moved below the bitmap
+    needed = maybe_in(texts.select("id", "text"), F.col("id"), chosen, "chosen").join(chosen.select("chosen").distinct(), F.col("id").eqNullSafe(F.col("chosen")))
     content = spark.createDataFrame([], "h long, n long, sketch binary, tokens binary").schema
     content_arrow = to_arrow_schema(content)
     sets = store(needed.select("text").mapInArrow(lambda batches: _contents(batches, width, content_arrow), content), "set-contents")
