@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from daybook.session import fresh_path
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 BITMAP_BITS = 1 << 23
 
 
@@ -49,6 +49,18 @@ def maybe_in(df: DataFrame, key: Column, keys: DataFrame, column: str, bits: int
     return marked.where("__maybe" if inside else "not __maybe").select(*df.columns)
 
 
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; at the end, memory that allocators hold back is returned, as workers wait for later tasks."""
+    import ctypes
+
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string or binary column and the offsets of its rows; null counts as empty."""
     column = column.cast(pa.large_binary())

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import LOWER, Rolling, flat, slices, words
+from daybook.llm.common import LOWER, Rolling, flat, slices, tidy, words
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -198,7 +198,7 @@ def occurrences(numbers: np.ndarray, first: np.ndarray, windows: Windows) -> tup
 SCHEMA = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
-def _search(batches: Iterator[pa.RecordBatch], block, final: bool, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], block, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     windows: Windows = block.value
     for batch in batches:
         text = batch.column(batch.schema.get_field_index("__text"))
@@ -266,7 +266,7 @@ def find_spans(
     for ids, texts in blocks(benchmark, item_column, item_text, block_bytes):
         block = spark.sparkContext.broadcast(Windows(ids, texts, window))
         schema = to_arrow_schema(state.schema)
-        state = state.mapInArrow(lambda batches, block=block, schema=schema: _search(batches, block, True, schema), state.schema)
+        state = state.mapInArrow(lambda batches, block=block, schema=schema: tidy(_search(batches, block, schema)), state.schema)
     return state.drop("__text")
 
 
@@ -322,7 +322,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_column: str = "text
 
     found = find_spans(docs, benchmark, text_column, **options)
     schema = to_arrow_schema(docs.schema)
-    return found.mapInArrow(lambda batches: _cut(batches, text_column, size_column, schema), docs.schema)
+    return found.mapInArrow(lambda batches: tidy(_cut(batches, text_column, size_column, schema)), docs.schema)
 
 
 __all__ = ["FMIndex", "Windows", "contamination", "find_spans", "occurrences", "remove_spans", "suffix_array"]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import store
+from daybook.llm.common import store, tidy
 
 SHARE = 0.6
 MIN_PAGES = 5
@@ -200,7 +200,7 @@ def templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES
     ``pages`` has host, key and html.
     """
     shape = "host string, token long, path string, pages long, single long, vector long, chars long"
-    tokens = pages.mapInArrow(_tokens, shape).groupBy("host", "token", "path").agg(
+    tokens = pages.mapInArrow(lambda batches: tidy(_tokens(batches)), shape).groupBy("host", "token", "path").agg(
         F.sum("pages").alias("pages"), F.sum("single").alias("single"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars")
     )
     sizes = pages.groupBy("host").count().where(F.col("count") >= min_pages).withColumnRenamed("count", "of")
@@ -267,4 +267,4 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     kind = rows.schema["id"].dataType.simpleString()
     shape = spark.createDataFrame([], f"`{id_column}` {kind}, `{url_column}` string, text string, n_chars long").schema
     arrow = to_arrow_schema(shape)
-    return joined.mapInArrow(lambda batches: _extracted(batches, arrow), shape)
+    return joined.mapInArrow(lambda batches: tidy(_extracted(batches, arrow)), shape)

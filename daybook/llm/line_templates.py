@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import maybe_in, store
+from daybook.llm.common import maybe_in, store, tidy
 
 DEPTH = 3
 MIN_DOCS = 10
@@ -73,7 +73,7 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     spark = texts.sparkSession
     shape = spark.createDataFrame([], "row long, line int, leaf long").schema
     arrow = to_arrow_schema(shape)
-    lines = store(texts.select("row", "text").mapInArrow(lambda b: _leaves(b, depth, arrow), shape), "line-leaves")
+    lines = store(texts.select("row", "text").mapInArrow(lambda b: tidy(_leaves(b, depth, arrow)), shape), "line-leaves")
     busy = lines.groupBy("leaf").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.count(F.lit(1)).alias("n"))
     busy = store(busy.where((F.col("n") >= min_docs) & (F.col("low") < F.col("high"))).select("leaf"), "line-busy")
     reached = maybe_in(lines, F.col("leaf"), busy, "leaf").join(busy, "leaf")
@@ -83,7 +83,7 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     shape = spark.createDataFrame([], "row long, line int, leaf long, place int, word string").schema
     arrow_words = to_arrow_schema(shape)
     wanted = maybe_in(texts.select("row", "text"), F.col("row"), held, "of").join(held, F.col("row") == F.col("of")).select("row", "text", "lines")
-    words = store(wanted.mapInArrow(lambda b: _words(b, arrow_words), shape), "line-words")
+    words = store(wanted.mapInArrow(lambda b: tidy(_words(b, arrow_words)), shape), "line-words")
     support = words.select("leaf", "place", "word", "row").distinct().groupBy("leaf", "place", "word").count()
     constant = support.where((F.col("count") >= min_docs) & (F.col("word") != FIELD)).select("leaf", "place", "word")
     marked = words.join(constant.withColumn("constant", F.lit(1)), ["leaf", "place", "word"], "left")
@@ -122,4 +122,4 @@ def drop_recurring_lines(docs: DataFrame, id_column: str = "doc_id", text_column
     kind = texts.schema["id"].dataType.simpleString()
     shape = docs.sparkSession.createDataFrame([], f"`{id_column}` {kind}, n_lines long, n_dropped long, text string").schema
     arrow = to_arrow_schema(shape)
-    return rest.unionAll(touched).mapInArrow(lambda b: _kept(b, arrow), shape)
+    return rest.unionAll(touched).mapInArrow(lambda b: tidy(_kept(b, arrow)), shape)

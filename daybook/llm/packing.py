@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.common import tidy
+
 LENGTH = 1024
 SENTENCE = 4
 INSIDE = 16
@@ -189,4 +191,4 @@ def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column
     kind = rows.schema["id"].dataType.simpleString()
     empty = docs.sparkSession.createDataFrame([], SCHEMA.format(id=kind))
     schema = to_arrow_schema(empty.schema)
-    return rows.mapInArrow(lambda batches: _pack(batches, tokenizer, length, chunk, schema), empty.schema).withColumnRenamed("doc_id", id_column)
+    return rows.mapInArrow(lambda batches: tidy(_pack(batches, tokenizer, length, chunk, schema)), empty.schema).withColumnRenamed("doc_id", id_column)

@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Rolling, flat, maybe_in, mix, store
+from daybook.llm.common import Rolling, flat, maybe_in, mix, store, tidy
 
 LENGTH = 200
 GRAM = 64
 BLOCK = 4096
 MANY = 1 << 15
-SLICE = 1 << 19
+SLICE = 1 << 18
 PLACE_BITS = 20
 KEY_BITS = 1 << 24
 ROLLING = Rolling(5)
@@ -274,13 +274,13 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = texts.withColumn("text_key", F.xxhash64("id", "text")).select("id", "text_key", "text")
     kind = texts.schema["id"].dataType.simpleString()
 
-    anchors = texts.select("text").mapInArrow(lambda b: _anchors(b, length, gram), "anchor long, passage long")
+    anchors = texts.select("text").mapInArrow(lambda b: tidy(_anchors(b, length, gram)), "anchor long, passage long")
     found = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("passage").alias("low"), F.max("passage").alias("high"))
     shared = store(found.where("n > 1").selectExpr("anchor", "low <> high as differ"), "repeat-anchors")
 
     shape = spark.createDataFrame([], f"id {kind}, text_key long, anchor long, place long").schema
     arrow = to_arrow_schema(shape)
-    places = texts.mapInArrow(lambda b: _places(b, length, gram, arrow), shape)
+    places = texts.mapInArrow(lambda b: tidy(_places(b, length, gram, arrow)), shape)
     hits = store(maybe_in(places, F.col("anchor"), shared, "anchor", KEY_BITS).join(shared, "anchor"), "repeat-places")
 
     # passages whose strings have to be compared
@@ -290,16 +290,16 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
     open_rows = open_texts.join(differ, "text_key").where(F.col("id").eqNullSafe(F.col("of"))).select("id", "text_key", "text", "entries")
     shape = spark.createDataFrame([], f"id {kind}, text_key long, place long, anchor long, d1 long, d2 long, run int, at int, passage binary, one int").schema
     arrow_of = to_arrow_schema(shape)
-    passages_ = store(open_rows.mapInArrow(lambda b: _different(b, length, arrow_of), shape), "repeat-passages")
+    passages_ = store(open_rows.mapInArrow(lambda b: tidy(_different(b, length, arrow_of)), shape), "repeat-passages")
     distinct = passages_.groupBy("anchor", "d1", "d2", "run", "at", "passage").agg(F.count(F.lit(1)).alias("copies"))
     distinct = store(distinct.select("anchor", "d1", "d2", "run", "at", "passage", "copies"), "repeat-distinct")
     crowded = store(distinct.groupBy("anchor").count().where(F.col("count") > many).select("anchor"), "repeat-crowded")
     usual = distinct.join(crowded, "anchor", "left_anti").select(*distinct.columns).repartition("anchor").sortWithinPartitions("anchor")
     strings = "anchor long, d1 long, d2 long, bits binary"
-    bits = usual.mapInArrow(lambda b: _compared(b, length), strings)
+    bits = usual.mapInArrow(lambda b: tidy(_compared(b, length)), strings)
     if crowded.take(1):
         each = distinct.join(crowded, "anchor", "left_semi").select(*distinct.columns)
-        each = each.mapInArrow(lambda b: _string_hashes(b, length), "anchor long, d1 long, d2 long, string long, h1 long, h2 long, copies long")
+        each = each.mapInArrow(lambda b: tidy(_string_hashes(b, length)), "anchor long, d1 long, d2 long, string long, h1 long, h2 long, copies long")
         each = store(each, "repeat-strings")
         twice = each.groupBy("h1", "h2").agg(F.sum("copies").alias("n")).where("n > 1")
         flagged = each.join(twice, ["h1", "h2"]).groupBy("anchor", "d1", "d2").agg(F.collect_set("string").alias("strings"))
@@ -323,4 +323,4 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.col("id").alias(id_column), F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"),
     )
-    return rest.unionAll(touched.mapInArrow(lambda b: _cut(b, length, arrow_out), shape))
+    return rest.unionAll(touched.mapInArrow(lambda b: tidy(_cut(b, length, arrow_out)), shape))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import LOWER, Rolling, components, maybe_in, mix, slices, store, without, words
+from daybook.llm.common import LOWER, Rolling, components, maybe_in, mix, slices, store, tidy, without, words
 
 BLOCK = 1024
 LIST_BITS = 1 << 24
@@ -41,26 +41,28 @@ ROLLING = Rolling(11)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(text: pa.Array, width: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each row."""
-    for _, _, data, offsets in slices(text):
+def shingle_sets(text: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, sorted distinct shingle hashes of each row) of slices of a column."""
+    for row, _, data, offsets in slices(text):
         data = LOWER[data]
         start, end, first = words(data, offsets, IS_WORD)
         hashes = ROLLING.of(ROLLING.sums(data), start, end)
-        size = len(hashes) - width + 1
-        joined = hashes[: max(size, 0)]
+        size = max(len(hashes) - width + 1, 0)
+        joined = hashes[:size]
         for k in range(1, width):
-            joined = mix(joined * ODD + hashes[k : k + max(size, 0)])
+            joined = mix(joined * ODD + hashes[k : k + size])
+        sets = []
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             if b - a >= width:
-                yield np.unique(joined[a : b - width + 1])
+                sets.append(np.unique(joined[a : b - width + 1]))
             elif b > a:
                 short = np.array([b - a], np.uint64)
                 for k in range(a, b):
                     short = mix(short * ODD + hashes[k : k + 1])
-                yield short
+                sets.append(short)
             else:
-                yield np.zeros(0, np.uint64)
+                sets.append(np.zeros(0, np.uint64))
+        yield row, sets
 
 
 def difference(size: int, percent: int) -> int:
@@ -106,26 +108,22 @@ def _identity(tokens: np.ndarray) -> tuple[int, int]:
 
 def _index(batches: Iterator[pa.RecordBatch], width: int, percent: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, first, second, keys = [], [], [], []
-        for tokens in shingle_sets(batch.column(2), width):
-            a, b = _identity(tokens)
-            sizes.append(len(tokens))
-            first.append(a)
-            second.append(b)
-            keys.append(block_keys(tokens, percent).view(np.int64))
-        ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-        columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), lists]
-        yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+        for row, sets in shingle_sets(batch.column(2), width):
+            identities = [_identity(tokens) for tokens in sets]
+            keys = [block_keys(tokens, percent).view(np.int64) for tokens in sets]
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            own = batch.slice(row, len(sets))
+            columns = [
+                own.column(0), own.column(1), pa.array([len(tokens) for tokens in sets], pa.int64()), pa.array([a for a, _ in identities], pa.int64()),
+                pa.array([b for _, b in identities], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys))),
+            ]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _contents(batches: Iterator[pa.RecordBatch], width: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for tokens in shingle_sets(batch.column(0), width):
-            rows.append((_identity(tokens)[0], len(tokens), sketch(tokens), tokens.tobytes()))
-        for i in range(0, len(rows), 512):
-            columns = list(zip(*rows[i : i + 512]))
+        for _, sets in shingle_sets(batch.column(0), width):
+            columns = [[_identity(t)[0] for t in sets], [len(t) for t in sets], [sketch(t) for t in sets], [t.tobytes() for t in sets]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
@@ -238,7 +236,7 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     kind = texts.schema["id"].dataType.simpleString()
     shape = spark.createDataFrame([], f"id {kind}, text_key long, n long, h long, h2 long, keys array<long>").schema
     arrow = to_arrow_schema(shape)
-    rows = store(texts.mapInArrow(lambda batches: _index(batches, width, percent, arrow), shape), "set-rows")
+    rows = store(texts.mapInArrow(lambda batches: tidy(_index(batches, width, percent, arrow)), shape), "set-rows")
     classes = store(rows.where("n > 0").groupBy("n", "h", "h2").agg(F.min("id").alias("rep")), "set-classes")
 
     entries = rows.select("h", F.explode("keys").alias("key"))
@@ -253,19 +251,19 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     needed = maybe_in(texts.select("id", "text"), F.col("id"), chosen, "chosen").join(chosen.select("chosen").distinct(), F.col("id").eqNullSafe(F.col("chosen")))
     content = spark.createDataFrame([], "h long, n long, sketch binary, tokens binary").schema
     content_arrow = to_arrow_schema(content)
-    sets = store(needed.select("text").mapInArrow(lambda batches: _contents(batches, width, content_arrow), content), "set-contents")
+    sets = store(needed.select("text").mapInArrow(lambda batches: tidy(_contents(batches, width, content_arrow)), content), "set-contents")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("h").alias("a"), F.col("tokens").alias("ta"))
         b = sets.select(F.col("h").alias("b"), F.col("tokens").alias("tb"))
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")
-        return both.mapInArrow(lambda batches: _exact(batches, percent), "a long, b long").distinct()
+        return both.mapInArrow(lambda batches: tidy(_exact(batches, percent)), "a long, b long").distinct()
 
     a = sets.select(F.col("h").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = sets.select(F.col("h").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     first = stars.select(F.col("lead").alias("a"), F.col("h").alias("b")).join(a, "a").join(b, "b")
     first = first.where((F.least("na", "nb") * 100) >= F.greatest("na", "nb") * percent).select("a", "b", "na", "nb", "sa", "sb")
-    first = store(first.mapInArrow(lambda batches: _near(batches, percent), "a long, b long").distinct(), "set-near")
+    first = store(first.mapInArrow(lambda batches: tidy(_near(batches, percent)), "a long, b long").distinct(), "set-near")
     links = store(verified(first), "set-links")
 
     parts = store(components(links), "set-parts")
@@ -279,7 +277,7 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "lead", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "h", "part", "n", "sketch"
     )
     open_ = open_.repartition("lead", "low", "high").sortWithinPartitions("lead", "low", "high")
-    rings = store(open_.mapInArrow(lambda batches: _rings(batches, percent), "a long, b long").distinct(), "set-rings")
+    rings = store(open_.mapInArrow(lambda batches: tidy(_rings(batches, percent)), "a long, b long").distinct(), "set-rings")
     more = store(verified(rings), "set-links")
 
     whole = store(components(links.unionAll(more)), "set-components")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import slices
+from daybook.llm.common import slices, store, tidy
 
 MAX_LABELLED = 10_000
 MAX_TERMS = 256
@@ -265,14 +265,12 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, where, max_rows: int, id_c
 
 def train(sample: DataFrame, max_terms: int = MAX_TERMS, min_odds: float = MIN_ODDS) -> Model:
     """A model from (text, toxic 0/1) rows; their number must be bounded."""
-    from daybook.llm.common import store
-
     sample = store(sample, "toxic-sample")
     sizes = dict(sample.groupBy("toxic").count().collect())
     good, bad = sizes.get(0, 0), sizes.get(1, 0)
     if not good or not bad:
         return Model(Automaton([]), {}, np.zeros(0))
-    counts = sample.mapInArrow(_counted, "word string, n long, toxic long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    counts = sample.mapInArrow(lambda batches: tidy(_counted(batches)), "word string, n long, toxic long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (bad + 1)) - F.log((F.col("n") - F.col("toxic") + 0.5) / (good + 1))
     terms = counts.where(F.col("toxic") >= max(2, bad // 500)).withColumn("odds", odds).where(F.col("odds") >= min_odds)
     terms = [r[0] for r in terms.orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "word").limit(max_terms).collect()]
@@ -294,7 +292,7 @@ def train(sample: DataFrame, max_terms: int = MAX_TERMS, min_odds: float = MIN_O
             )
 
     shape = "states array<int>, quoted array<boolean>, direct array<boolean>, words long, toxic int"
-    rows = [(list(zip(r.states, r.quoted, r.direct)), r.words, r.toxic) for r in sample.mapInArrow(observed, shape).collect()]
+    rows = [(list(zip(r.states, r.quoted, r.direct)), r.words, r.toxic) for r in sample.mapInArrow(lambda batches: tidy(observed(batches)), shape).collect()]
     seen: dict[tuple, list[int]] = defaultdict(lambda: [0, 0])
     for found, _, toxic in rows:
         kinds = set()
@@ -349,7 +347,7 @@ def with_scores(docs: DataFrame, model: Model, text_column: str = "text", name:
             scores = [held.value.score(found, words) for found, words in found_terms(batch.column(at), held.value.automaton)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], schema=arrow)
 
-    return docs.mapInArrow(scored, shape)
+    return docs.mapInArrow(lambda batches: tidy(scored(batches)), shape)
 
 
 def may_train(id_column: Column) -> Column:

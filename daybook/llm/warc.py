@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import one_of_each, store
+from daybook.llm.common import one_of_each, store, tidy
 
 END = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -185,4 +185,4 @@ def read(spark: SparkSession, path: str, with_content: bool = True) -> DataFrame
     shape = spark.createDataFrame([], READ).schema
     arrow = to_arrow_schema(shape)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(lambda batches: _read(batches, with_content, arrow), shape)
+    return files.mapInArrow(lambda batches: tidy(_read(batches, with_content, arrow)), shape)
