@@ -253,9 +253,12 @@ def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes
 
 def find_spans(
     docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    window: int = WINDOW, block_bytes: int = BLOCK_BYTES, finish=None, finished=None,
 ) -> DataFrame:
-    """``docs`` with ``__words`` (number of words), ``__spans`` (hit words: from, to, from, to, ...) and ``__items``."""
+    """``docs`` with ``__words`` (number of words), ``__spans`` (hit words: from, to, from, to, ...) and ``__items``.
+
+    ``finish``, if given, turns the last block's batches into rows of the schema ``finished`` in the same task.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
@@ -263,11 +266,15 @@ def find_spans(
         "__text": F.col(text_column).cast("string"), "__words": F.lit(0).cast("long"),
         "__spans": F.array().cast("array<long>"), "__items": F.array().cast("array<string>"),
     })
+    schema = to_arrow_schema(state.schema)
+    waiting = None
     for ids, texts in blocks(benchmark, item_column, item_text, block_bytes):
-        block = spark.sparkContext.broadcast(Windows(ids, texts, window))
-        schema = to_arrow_schema(state.schema)
-        state = state.mapInArrow(lambda batches, block=block, schema=schema: tidy(_search(batches, block, schema)), state.schema)
-    return state.drop("__text")
+        if waiting is not None:
+            state = state.mapInArrow(lambda batches, block=waiting: tidy(_search(batches, block, schema)), state.schema)
+        waiting = spark.sparkContext.broadcast(Windows(ids, texts, window))
+    if finish is not None:
+        return state.mapInArrow(lambda batches: tidy(finish(_search(batches, waiting, schema))), finished)
+    return state.mapInArrow(lambda batches: tidy(_search(batches, waiting, schema)), state.schema).drop("__text")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -320,9 +327,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_column: str = "text
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    found = find_spans(docs, benchmark, text_column, **options)
     schema = to_arrow_schema(docs.schema)
-    return found.mapInArrow(lambda batches: tidy(_cut(batches, text_column, size_column, schema)), docs.schema)
+    return find_spans(docs, benchmark, text_column, finish=lambda batches: _cut(batches, text_column, size_column, schema), finished=docs.schema, **options)
 
 
 __all__ = ["FMIndex", "Windows", "contamination", "find_spans", "occurrences", "remove_spans", "suffix_array"]
