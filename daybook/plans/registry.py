@@ -74,14 +74,9 @@ def rounded(column: str | Column, digits: int = 6) -> Column:
     return F.round(c.cast("double"), digits) + F.lit(0.0)
 
 
-# added before rounding prices that end exactly between two roundings, such as a unit price of a
-# quantity of 32; the SQL adds the same
-OFF_TIE = 0.0000314159
-
-
 def rounded_price(column: str | Column) -> Column:
-    c = F.col(column) if isinstance(column, str) else column
-    return rounded(c + OFF_TIE, 4)
+    """To six digits, where sums in another order still agree."""
+    return rounded(column, 6)
 
 
 def cents(column: str | Column) -> Column:

@@ -246,7 +246,7 @@ CHAIN_SQL = (
 
 @query(
     "closing_price_chain",
-    CHAIN_SQL + "SELECT CAST(date AS VARCHAR) AS date, item_id AS product_code, round(acp + 0.0000314159, 4) AS product_acp FROM closing",
+    CHAIN_SQL + "SELECT CAST(date AS VARCHAR) AS date, item_id AS product_code, round(acp, 6) AS product_acp FROM closing",
 )
 def closing_price_chain(t: Tables):
     chained = valuation.closing_price_chain(market_prices(t), start_prices(t))
@@ -267,8 +267,8 @@ def closing_price_chain(t: Tables):
         SELECT a.asset_code, a.location, c.date, k.acp - a.cost AS asset_acp
         FROM calendar c CROSS JOIN assets a LEFT JOIN closing k ON k.date = c.date AND k.item_id = a.p_type)
     SELECT asset_code, location, strftime(date, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS days,
-           CAST(count(asset_acp) AS BIGINT) AS priced_days, round(arg_max(asset_acp, date) + 0.0000314159, 4) AS closing_acp,
-           round(min(asset_acp) + 0.0000314159, 4) AS lowest_acp
+           CAST(count(asset_acp) AS BIGINT) AS priced_days, round(arg_max(asset_acp, date), 6) AS closing_acp,
+           round(min(asset_acp), 6) AS lowest_acp
     FROM priced GROUP BY ALL
     """,
 )
