@@ -11,14 +11,16 @@ from daybook.plans.registry import REGISTERED, Tables, day_text, numbers_text, q
 from daybook.session import fresh_path
 from daybook.streaming import incremental as inc
 
+#: Micro-batches, and files at least.
 FILES = 3
 
 
-def arriving(t: Tables, table: DataFrame) -> DataFrame:
-    """The table put into a few files that arrive one per micro-batch."""
-    folder = fresh_path(t.spark, "arriving")
-    table.repartition(FILES).write.parquet(folder)
-    return inc.read_files(t.spark, folder, table.schema, files_per_batch=1)
+def arriving(t: Tables, table: DataFrame, folder: str | None = None) -> DataFrame:
+    """The table put into files, of which a third arrives per micro-batch."""
+    folder = folder or fresh_path(t.spark, "arriving")
+    files = max(FILES, table.rdd.getNumPartitions())
+    table.repartition(files).write.mode("append").parquet(folder)
+    return inc.read_files(t.spark, folder, table.schema, files_per_batch=-(-files // FILES))
 
 
 @query("stream_latest_balances", REGISTERED["daily_balance_incremental"].sql)
@@ -47,10 +49,10 @@ def stream_upsert(t: Tables):
     rows = t.events.select("user_id", "event_type", "event_id", "value", "ts")
     half = F.lit("2024-01-15").cast("timestamp")
     for part in (rows.where(F.col("ts") >= half), rows.where(F.col("ts") < half)):
-        part.withColumn("age", -F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts").coalesce(1).write.mode("append").parquet(folder)
+        part.withColumn("age", -F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts").write.mode("append").parquet(folder)
     schema = t.spark.read.parquet(folder).schema
     table = inc.VersionedTable(t.spark, fresh_path(t.spark, "table"))
-    stream = inc.read_files(t.spark, folder, schema, files_per_batch=1)
+    stream = inc.read_files(t.spark, folder, schema, files_per_batch=FILES)
     inc.stream_upsert(stream, table, ["user_id", "event_type"], fresh_path(t.spark, "checkpoint"), ["age"])
     return table.latest().drop("age")
 
@@ -72,20 +74,14 @@ def stream_monthly_activity(t: Tables):
 @query(
     "stream_partitions",
     """
-    SELECT strftime(o_orderdate, '%Y') AS year, o_orderstatus, CAST(count(*) AS BIGINT) AS orders FROM orders GROUP BY ALL
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus, CAST(count(*) AS BIGINT) AS orders FROM orders GROUP BY ALL
     """,
 )
 def stream_partitions(t: Tables):
-    """Orders by status arrive twice, once per status and file; a second arrival replaces the first."""
-    folder, path = fresh_path(t.spark, "arriving"), fresh_path(t.spark, "by-status")
-    columns = ["o_orderkey", "o_orderdate", "o_orderstatus"]
-    for _ in range(2):
-        for status in ("F", "O", "P"):
-            rows = t.orders.select(*columns).where(F.col("o_orderstatus") == status)
-            rows.coalesce(1).write.mode("append").parquet(folder)
-    schema = t.orders.select(*columns).schema
-    inc.stream_partitions(
-        inc.read_files(t.spark, folder, schema, 1), path, "o_orderstatus", fresh_path(t.spark, "checkpoint")
-    )
-    stored = t.spark.read.parquet(path)
-    return stored.groupBy(F.date_format("o_orderdate", "yyyy").alias("year"), "o_orderstatus").agg(F.count("*").alias("orders"))
+    """Orders by month, in files that each hold rows of all months; a first, partial load is replaced by a whole one."""
+    folder, path, checkpoint = (fresh_path(t.spark, name) for name in ("arriving", "by-month", "checkpoint"))
+    rows = t.orders.select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    for load in (rows.where(F.col("o_orderstatus") == "O"), rows):
+        inc.stream_partitions(arriving(t, load, folder), path, "month", checkpoint)
+    stored = t.spark.read.schema(rows.schema).parquet(path)
+    return stored.groupBy("month", "o_orderstatus").agg(F.count("*").alias("orders"))

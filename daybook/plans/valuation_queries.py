@@ -222,24 +222,25 @@ def mean_market_prices(t: Tables):
 CHAIN_SQL = (
     MEAN_SQL
     + """,
-    starts AS (SELECT p_type, avg(p_retailprice) AS start_price FROM part GROUP BY p_type),
-    seeded AS MATERIALIZED (
-        SELECT m.*, CASE WHEN m.market_price IS NULL AND s.start_price IS NOT NULL THEN s.start_price ELSE m.final_price END AS first_price
-        FROM markets m LEFT JOIN starts s ON s.p_type = m.item_id AND m.date = DATE '1995-01-01'),
-    chain AS (
-        SELECT date, item_id, market_code, CASE WHEN final_price IS NOT NULL THEN 0 ELSE 1 END AS idle,
-               sum(first_price * w) OVER (PARTITION BY item_id) / sum(w) OVER (PARTITION BY item_id) AS acp
-        FROM seeded WHERE date = DATE '1995-01-01'
+    known AS (SELECT DISTINCT item_id, market_code, date AS known_on FROM markets WHERE final_price IS NOT NULL),
+    aged AS (
+        SELECT m.*, m.date - coalesce(k.known_on, DATE '1994-12-31') AS age
+        FROM markets m ASOF LEFT JOIN known k
+        ON k.item_id = m.item_id AND k.market_code = m.market_code AND k.known_on <= m.date),
+    steps AS MATERIALIZED (
+        SELECT date, item_id, sum(final_price * w) AS fixed, sum(w) FILTER (final_price IS NULL AND age <= 5) AS carried,
+               coalesce(nullif(sum(w) FILTER (final_price IS NOT NULL OR age <= 5), 0), 1) AS whole,
+               bool_or(final_price IS NULL AND age > 5) AS lapsed
+        FROM aged WHERE date > DATE '1995-01-01' GROUP BY ALL),
+    closing AS (
+        SELECT m.date, m.item_id,
+               sum(w * CASE WHEN market_price IS NULL THEN coalesce(start_price, final_price) ELSE final_price END) / sum(w) AS acp
+        FROM markets m LEFT JOIN (SELECT p_type, avg(p_retailprice) AS start_price FROM part GROUP BY p_type) ON p_type = m.item_id
+        WHERE m.date = DATE '1995-01-01' GROUP BY ALL
         UNION ALL
-        SELECT m.date, m.item_id, m.market_code, CASE WHEN m.final_price IS NOT NULL THEN 0 ELSE c.idle + 1 END,
-               sum(CASE WHEN m.final_price IS NOT NULL THEN m.final_price * m.w WHEN c.idle + 1 <= 5 THEN c.acp * m.w ELSE 0 END)
-                   OVER (PARTITION BY m.item_id)
-               / CASE WHEN sum(CASE WHEN m.final_price IS NULL AND c.idle + 1 > 5 THEN 0 ELSE m.w END) OVER (PARTITION BY m.item_id) = 0
-                      THEN 1
-                      ELSE sum(CASE WHEN m.final_price IS NULL AND c.idle + 1 > 5 THEN 0 ELSE m.w END) OVER (PARTITION BY m.item_id) END
-        FROM seeded m JOIN chain c ON m.market_code = c.market_code AND m.item_id = c.item_id AND m.date = c.date + 1
-        ),
-    closing AS (SELECT DISTINCT date, item_id, acp FROM (SELECT date, item_id, first(acp) AS acp FROM chain GROUP BY ALL))
+        SELECT s.date, s.item_id, CASE WHEN lapsed OR fixed IS NOT NULL OR carried * acp IS NOT NULL
+                                       THEN (coalesce(fixed, 0) + coalesce(carried * acp, 0)) / whole END
+        FROM closing c JOIN steps s ON s.item_id = c.item_id AND s.date = c.date + 1)
 """
 )
 

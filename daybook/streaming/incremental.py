@@ -36,11 +36,31 @@ def run_available(stream: DataFrame, each_batch: Callable[[DataFrame, int], None
     query.awaitTermination()
 
 
+class _Folder:
+    """The few file operations that DataFrame readers and writers do not offer, on any file system Spark knows."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.root = path.rstrip("/")
+        self._system = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names(self, below: str = "") -> list[str]:
+        folder = self._path(f"{self.root}/{below}")
+        return [s.getPath().getName() for s in self._system.listStatus(folder)] if self._system.exists(folder) else []
+
+    def mark(self, name: str) -> None:
+        self._system.create(self._path(f"{self.root}/{name}"), True).close()
+
+    def remove(self, name: str) -> None:
+        self._system.delete(self._path(f"{self.root}/{name}"), True)
+
+
 class VersionedTable:
     """A table kept as one folder per micro-batch; batch ids of a checkpoint are consecutive.
 
     A batch reads the version before its own and writes its own, so nothing is read and
-    overwritten at once and a replay starts from the same state.
+    overwritten at once and a replay starts from the same state. Versions that no replay can ask for
+    are removed. A checkpoint that starts anew over a table it did not write is refused.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -51,19 +71,22 @@ class VersionedTable:
         return f"{self.root}/version={version}"
 
     def before(self, version: int, schema: T.StructType) -> DataFrame:
+        found = self.versions()
+        if found and found[-1] > version or version and version - 1 not in found:
+            raise ValueError(f"{self.root} holds versions {found}, which do not belong before batch {version} of this checkpoint")
         if version == 0:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(version - 1))
 
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self.path(version))
+        for old in self.versions():
+            if old < version - 1:
+                _Folder(self.spark, self.root).remove(f"version={old}")
 
     def versions(self) -> list[int]:
         """Numbers of the versions present."""
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        system = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in system.listStatus(root)] if system.exists(root) else []
+        names = _Folder(self.spark, self.root).names()
         return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
 
     def latest(self) -> DataFrame:
@@ -81,8 +104,33 @@ def stream_upsert(stream: DataFrame, table: VersionedTable, keys: list[str], che
 
 
 def stream_partitions(stream: DataFrame, path: str, partition: str, checkpoint: str) -> None:
-    """Replace the date partitions that arrive: the stream form of the rerun-safe load."""
-    run_available(stream, lambda batch, _: replace_partitions(batch, path, partition), checkpoint)
+    """Replace the partitions that arrive: the stream form of the rerun-safe load.
+
+    One call is one load, however many micro-batches it takes. Each micro-batch puts its rows into a folder of the load under its batch id,
+    so a replayed batch is stored once; when all that has arrived is stored, every partition that occurs is replaced by all
+    rows the load has for it. A load that is interrupted goes on with the next call, and publishing it again gives the same
+    table. The rows are kept beside the checkpoint until their load is published.
+    """
+    spark = stream.sparkSession
+    folder = _Folder(spark, f"{checkpoint.rstrip('/')}-loads")
+
+    def publish(load: int) -> None:
+        if folder.names(f"rows-{load}"):
+            replace_partitions(spark.read.schema(stream.schema).parquet(f"{folder.root}/rows-{load}/*"), path, partition)
+        folder.mark(f"published-{load}")
+        folder.remove(f"rows-{load}")
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder.root}/rows-{load}/batch-{number}")
+
+    done = folder.names()
+    load = sum(name.startswith("published-") for name in done)
+    if f"complete-{load}" in done:
+        publish(load)
+        load += 1
+    run_available(stream, each, checkpoint)
+    folder.mark(f"complete-{load}")
+    publish(load)
 
 
 def stream_latest_balances(

@@ -93,9 +93,43 @@ def test_stream_replay_gives_the_same_table(spark, table, tmp_path):
     got = sorted((r.k, r.balance, str(r.date)) for r in spark.read.parquet(str(tmp_path / "snap")).collect())
     assert got == [(1, 2.0, "2024-01-04"), (2, 3.0, "2024-01-04")]
     assert state.versions() == [0, 1]
+    with pytest.raises(Exception, match="do not belong"):  # a new checkpoint must not start over a table that has versions
+        state.before(0, rows.schema)
     assert state.latest().count() == latest_row(rows, ["k"], ["ts"]).count()
 
 
+def test_stream_partitions_keeps_a_partition_split_over_batches(spark, table, tmp_path, monkeypatch):
+    folder, path, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    schema = table("d string, n int", ("d1", 1)).schema
+
+    def arrive(*rows):
+        table("d string, n int", *rows).coalesce(1).write.mode("append").parquet(folder)
+
+    def load():
+        inc.stream_partitions(inc.read_files(spark, folder, schema, 1), path, "d", checkpoint)
+        return sorted((r.d, r.n) for r in spark.read.schema(schema).parquet(path).collect())
+
+    arrive(("d1", 1), ("d2", 1))
+    arrive(("d1", 2))
+    assert load() == [("d1", 1), ("d1", 2), ("d2", 1)]
+    assert load() == [("d1", 1), ("d1", 2), ("d2", 1)]  # nothing has arrived
+    arrive(("d1", 3))
+    assert load() == [("d1", 3), ("d2", 1)]  # a later load replaces the partition
+    arrive(("d1", 4))
+    arrive(("d1", 5))
+    replace = inc.replace_partitions
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(inc, "replace_partitions", lost)
+    with pytest.raises(RuntimeError):
+        load()
+    monkeypatch.setattr(inc, "replace_partitions", replace)
+    arrive(("d2", 6))
+    assert load() == [("d1", 4), ("d1", 5), ("d2", 6)]
+
+
 def test_csv(spark, table, tmp_path):
     df = table("k int, s string", (1, 'a,"b"'), (2, None))
     tables.write_table(df, str(tmp_path / "c"), "csv", "overwrite")
