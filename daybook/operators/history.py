@@ -133,19 +133,23 @@ def scd2_backfill(
 
 
 def scd2_incremental(
-    history: DataFrame, current: DataFrame, key: list[str], period: str, tracked: list[str], upto: int
+    history: DataFrame, current: DataFrame, key: list[str], period: str, tracked: list[str], upto: int,
+    carried: list[str] | None = None,
 ) -> DataFrame:
     """History through ``upto`` from the history through ``upto - 1`` and the rows of ``upto``.
 
     Open streaks are extended when nothing tracked changed; on a change the old streak stays
     closed and a new one opens; new keys open streak 0. Keys without a row keep their history.
+    ``carried`` columns, such as a name, stay with their streak; a new streak takes them from the row that opens it.
+    The columns are those of the backfill.
     """
+    carried = carried or []
     last = upto - 1
     previous = history.where((F.col("current_year") == last) & (F.col("end_date") <= last))
     is_open = F.col("end_date") == last
     closed = previous.where(~is_open)
     now = current.where(F.col(period) == upto).select(
-        *[F.col(k).alias(f"_k_{k}") for k in key], *[F.col(c).alias(f"_n_{c}") for c in tracked],
+        *[F.col(k).alias(f"_k_{k}") for k in key], *[F.col(c).alias(f"_n_{c}") for c in [*carried, *tracked]],
         F.lit(True).alias("_present"),
     )
     same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
@@ -155,7 +159,7 @@ def scd2_incremental(
     present = F.coalesce(F.col("_present"), F.lit(False))
 
     keys = [F.coalesce(F.col(k), F.col(f"_k_{k}")).alias(k) for k in key]
-    fields = [*tracked, "streak_identifier", "start_date", "end_date"]
+    fields = [*carried, "streak_identifier", *tracked, "start_date", "end_date"]
     kinds = {f.name: f.dataType for f in history.schema.fields}
 
     def row(values: dict[str, Column]) -> Column:
@@ -164,7 +168,7 @@ def scd2_incremental(
     old = {f: F.col(f) for f in fields}
     extended = row({**old, "end_date": F.lit(upto)})
     opened = row({
-        **{c: F.col(f"_n_{c}") for c in tracked},
+        **{c: F.col(f"_n_{c}") for c in [*carried, *tracked]},
         "streak_identifier": F.coalesce(F.col("streak_identifier") + 1, F.lit(0)),
         "start_date": F.lit(upto),
         "end_date": F.lit(upto),

@@ -35,8 +35,8 @@ def kmeans_segments(df: DataFrame, columns: list[str], k: int, seed: int = 42) -
     return labelled, df.sparkSession.createDataFrame(centers, "cluster int, attribute string, value double")
 
 
-def elbow(df: DataFrame, columns: list[str], ks: range = range(1, 9), seed: int = 42) -> DataFrame:
-    """Sum of squared distances per number of clusters."""
+def elbow(df: DataFrame, columns: list[str], ks: range = range(1, 9), seed: int = 42, max_iter: int = 100) -> DataFrame:
+    """Sum of squared distances per number of clusters, fitted as ``fit_kmeans`` does."""
     points = _assembled(df, columns).select("_features").persist(StorageLevel.MEMORY_AND_DISK)
     costs = []
     try:
@@ -45,7 +45,7 @@ def elbow(df: DataFrame, columns: list[str], ks: range = range(1, 9), seed: int
                 squares = [F.var_pop(c) * F.count(c) for c in columns]
                 costs.append((1, float(df.agg(sum(squares[1:], squares[0]).alias("sse")).first()["sse"])))
             else:
-                model = KMeans(k=k, seed=seed, featuresCol="_features").fit(points)
+                model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features").fit(points)
                 costs.append((k, float(model.summary.trainingCost)))
     finally:
         points.unpersist()

@@ -288,7 +288,7 @@ def kmeans_centroids(t: Tables):
 
 @query("elbow")
 def elbow(t: Tables):
-    return segments.elbow(scaled_matrix(t), ALL_SCALED, range(1, 6))
+    return segments.elbow(scaled_matrix(t), ALL_SCALED)
 
 
 def demographics(t: Tables):

@@ -92,3 +92,13 @@ def test_monthly_arrays(table):
                    ("h", "u", datetime(2023, 2, 1)))
     row = activity.monthly_activity_arrays(events, ["host"], "user", "ts", "2023-01-15").collect()
     assert [(r.month, r.month_name, r.hit_array, r.unique_visitors_array) for r in row] == [("2023-01", "Jan", [3, 0], [2, 0])]
+
+
+def test_scd2_incremental_keeps_carried_columns(table):
+    rows = table("id int, name string, year int, grade string", (1, "a", 1, "x"), (1, "a", 2, "x"), (1, "a", 3, "y"), (2, "b", 2, None),
+                 (2, "b", 3, None), (3, "c", 3, "z"), (4, "d", 1, "x"))
+    before = history.scd2_backfill(rows, ["id"], "year", ["grade"], 2, ["name"])
+    after = history.scd2_incremental(before, rows, ["id"], "year", ["grade"], 3, ["name"])
+    whole = history.scd2_backfill(rows, ["id"], "year", ["grade"], 3, ["name"])
+    assert after.columns == whole.columns
+    assert sorted(map(str, after.collect())) == sorted(map(str, whole.collect()))
