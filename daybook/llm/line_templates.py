@@ -5,7 +5,7 @@
    template and are left at once; this keeps nearly all lines out of what follows.
 2. **Generalisation.** Within a leaf, a word is constant at its place if lines of at least ``MIN_DOCS`` documents have it there, and is
    a field otherwise. The template of a line is its constant words and fields. Places and words are counted, not compared
-   pairwise, so a leaf with a third of all lines is counted within tasks first.
+   pairwise. Lines that are equal but for fields are counted as one; their words are taken apart once.
 3. **Recurrence.** A template of which at least ``MIN_CONSTANT`` of the words are constant and which lines of at least ``MIN_DOCS`` documents have
    is recurring; all its lines are dropped.
 
@@ -50,18 +50,14 @@ def masked(word: str) -> str:
     return FIELD if any(c.isdigit() for c in word) else word
 
 
-def _words(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """(row, text, lines) to (row, line, leaf, place, word) of the listed lines."""
+def _masked(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """(row, text, lines) to (row, line, leaf, masked) of the listed lines: their words, fields replaced, with single spaces."""
     for batch in batches:
         out: list[tuple] = []
         for row, text, wanted in zip(*[c.to_pylist() for c in batch.columns]):
             lines = text.split("\n")
             for entry in wanted:
-                for place, word in enumerate(lines[entry["line"]].split()):
-                    out.append((row, entry["line"], entry["leaf"], place, masked(word)))
-            if len(out) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                out = []
+                out.append((row, entry["line"], entry["leaf"], " ".join(map(masked, lines[entry["line"]].split()))))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
@@ -78,22 +74,52 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     busy = store(busy.where((F.col("n") >= min_docs) & (F.col("low") < F.col("high"))).select("leaf"), "line-busy")
     reached = maybe_in(lines, F.col("leaf"), busy, "leaf").join(busy, "leaf")
     per_leaf = reached.select("leaf", "row").distinct().groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
-    held = reached.join(per_leaf, "leaf").groupBy("row").agg(F.collect_list(F.struct("line", "leaf")).alias("lines"))
+    held = reached.join(per_leaf, "leaf").groupBy("row").agg(F.collect_set(F.struct("line", "leaf")).alias("lines"))
     held = store(held.withColumnRenamed("row", "of"), "line-held")
-    shape = spark.createDataFrame([], "row long, line int, leaf long, place int, word string").schema
-    arrow_words = to_arrow_schema(shape)
+    shape = spark.createDataFrame([], "row long, line int, leaf long, masked string").schema
+    arrow_masked = to_arrow_schema(shape)
     wanted = maybe_in(texts.select("row", "text"), F.col("row"), held, "of").join(held, F.col("row") == F.col("of")).select("row", "text", "lines")
-    words = store(wanted.mapInArrow(lambda b: tidy(_words(b, arrow_words)), shape), "line-words")
-    support = words.select("leaf", "place", "word", "row").distinct().groupBy("leaf", "place", "word").count()
-    constant = support.where((F.col("count") >= min_docs) & (F.col("word") != FIELD)).select("leaf", "place", "word")
-    marked = words.join(constant.withColumn("constant", F.lit(1)), ["leaf", "place", "word"], "left")
-    named = marked.groupBy("row", "line", "leaf").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", F.when(F.col("constant") == 1, F.col("word")).otherwise(F.lit(FIELD)).alias("word")))), lambda e: e["word"]), " ").alias("template"),
+    found = wanted.mapInArrow(lambda b: tidy(_masked(b, arrow_masked)), shape)
+    found = store(found.withColumn("shape", F.xxhash64("masked")), "line-masked")
+    shapes, rows = _shapes(found, min_docs)
+    dropped = store(_recurring_shapes(shapes, rows, min_docs, min_constant), "line-shapes-dropped")
+    return found.select("row", "line", "leaf", "shape").join(dropped, ["leaf", "shape"]).select("row", "line", "template")
+
+
+def _shapes(found: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """The different masked lines, with ``frequent`` where ``min_docs`` documents have one, and (leaf, shape, row) of the others."""
+    rows = store(found.select("leaf", "shape", "row").distinct(), "line-rows")
+    counts = rows.groupBy("leaf", "shape").agg((F.count(F.lit(1)) >= min_docs).alias("frequent"))
+    shapes = store(found.select("leaf", "shape", "masked").distinct().join(counts, ["leaf", "shape"]), "line-shapes")
+    return shapes, rows.join(shapes.where("not frequent").select("leaf", "shape"), ["leaf", "shape"], "left_semi")
+
+
+def _recurring_shapes(shapes: DataFrame, rows: DataFrame, min_docs: int, min_constant: float) -> DataFrame:
+    """(leaf, shape, template) of the masked lines whose template recurs.
+
+    All words of a frequent masked line are constant, and it is its own template, which recurs. So only the words of rarer ones are
+    counted by document, ``rows`` being theirs; a word of a frequent line at the same place is constant already.
+    """
+    place = ["leaf", "place", "word"]
+    words = shapes.select("leaf", "shape", "frequent", F.posexplode(F.split("masked", " ")).alias("place", "word"))
+    rare = words.where("not frequent").drop("frequent")
+    plain = F.col("word") != FIELD
+    sure = words.where(F.col("frequent") & plain).select(*place)
+    support = rare.where(plain).join(rows, ["leaf", "shape"]).select(*place, "row").distinct().groupBy(*place).count()
+    constant = store(sure.unionAll(support.where(F.col("count") >= min_docs).select(*place)).distinct(), "line-constant")
+    marked = rare.join(constant.withColumn("constant", F.lit(1)), place, "left")
+    word = F.when(F.col("constant") == 1, F.col("word")).otherwise(F.lit(FIELD))
+    templates = marked.groupBy("leaf", "shape").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", word.alias("word")))), lambda e: e["word"]), " ").alias("template"),
         F.avg(F.coalesce("constant", F.lit(0))).alias("share"),
     )
-    named = store(named.where(F.col("share") >= min_constant).select("row", "line", "leaf", "template"), "line-templates")
-    recurring = named.select("leaf", "template", "row").distinct().groupBy("leaf", "template").count().where(F.col("count") >= min_docs)
-    return named.join(recurring.select("leaf", "template"), ["leaf", "template"], "left_semi").select("row", "line", "template")
+    named = store(templates.where(F.col("share") >= min_constant).drop("share"), "line-templates")
+    all_words = F.split("masked", " ")
+    share = F.size(F.filter(all_words, lambda w: w != FIELD)) / F.size(all_words)
+    frequent = shapes.where(F.col("frequent") & (share >= min_constant)).select("leaf", "shape", F.col("masked").alias("template"))
+    counted = named.join(rows, ["leaf", "shape"]).select("leaf", "template", "row").distinct().groupBy("leaf", "template").count()
+    recurring = frequent.select("leaf", "template").unionAll(counted.where(F.col("count") >= min_docs).select("leaf", "template"))
+    return frequent.unionAll(named.join(recurring, ["leaf", "template"], "left_semi").select("leaf", "shape", "template"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
