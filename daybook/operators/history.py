@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ELEMENTS = 100_000
-
 # fixed values: class names and the rating each must exceed
 QUALITY_CLASSES = [("Star", 8), ("Good", 7), ("Average", 6)]
 LOWEST_CLASS = "Bad"
@@ -60,25 +58,20 @@ def cumulative_history(
     event_id: str,
     rating: str,
     last_period: int,
-    max_elements: int = MAX_ELEMENTS,
     array_name: str = "films",
 ) -> DataFrame:
     """Cumulative table: per entity and period the array of all events so far, class and activity.
 
-    The array is ordered by period and event id. An entity with more than ``max_elements``
-    events has its events divided over several rows per period, numbered by ``chunk``; every
-    other entity has chunk 0 only. No event is dropped and no task holds more than about
-    ``max_elements`` events of one entity.
+    The array is ordered by period and event id. The grain never depends on size: an entity has one row per
+    period. A row holds all events of its entity, so an entity whose events exceed the size of one row (2 GB)
+    is an error of the engine, not cut; keep such histories as events.
     """
     events = events.where(F.col(period) <= last_period)
-    chunked = _with_chunk(events, entity, period, event_id, max_elements)
     element = F.struct(period, event_id, *[c for c in event_columns if c not in (period, event_id)])
-    per_period = chunked.groupBy(*entity, "chunk", period).agg(
-        F.array_sort(F.collect_list(element)).alias("_added")
-    )
-    by_chunk = Window.partitionBy(*entity, "chunk").orderBy(period)
-    grown = per_period.withColumn("_next", F.lead(period).over(by_chunk)).withColumn(
-        array_name, F.flatten(F.collect_list("_added").over(by_chunk))
+    per_period = events.groupBy(*entity, period).agg(F.array_sort(F.collect_list(element)).alias("_added"))
+    by_entity = Window.partitionBy(*entity).orderBy(period)
+    grown = per_period.withColumn("_next", F.lead(period).over(by_entity)).withColumn(
+        array_name, F.flatten(F.collect_list("_added").over(by_entity))
     )
     dense = grown.withColumn(
         period, F.explode(F.sequence(F.col(period), F.coalesce(F.col("_next") - 1, F.lit(last_period))))
@@ -88,26 +81,10 @@ def cumulative_history(
     return (
         dense.join(summary, [*entity, period])
         .withColumn(array_name, ordered)
-        .select(*entity, "chunk", array_name, "quality_class", period, "years_since_last_active", "is_active")
+        .select(*entity, array_name, "quality_class", period, "years_since_last_active", "is_active")
     )
 
 
-def _with_chunk(events: DataFrame, entity: list[str], period: str, event_id: str, max_elements: int) -> DataFrame:
-    """Number the chunk of every event from running counts of hash buckets.
-
-    The bucket count is set so that the largest (entity, period) splits into buckets of about
-    ``max_elements``; with no such entity it is 1.
-    """
-    sizes = events.groupBy(*entity, period).agg(F.count(F.lit(1)).alias("n"))
-    buckets = sizes.agg(F.ceil(F.max("n") / F.lit(max_elements)).alias("b")).scalar()
-    spread = events.withColumn("_bucket", F.pmod(F.xxhash64(event_id, *entity), F.greatest(buckets, F.lit(1))))
-    per_bucket = spread.groupBy(*entity, period, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy(*entity).orderBy(period, "_bucket")
-    before = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
-    chunks = per_bucket.withColumn("chunk", F.floor(before / F.lit(max_elements)).cast("int")).drop("_n")
-    return spread.join(chunks, [*entity, period, "_bucket"]).drop("_bucket")
-
-
 def scd2_backfill(
     df: DataFrame, key: list[str], period: str, tracked: list[str], upto: int, carried: list[str] | None = None
 ) -> DataFrame:

@@ -93,7 +93,10 @@ def portfolio_transactions(log: DataFrame, products: DataFrame, locations: DataF
     return moved_volume_per_location(expand_location_breakdown(described))
 
 
-def _named(rows: DataFrame, locations: DataFrame) -> DataFrame:
+def _named(rows: DataFrame, locations: DataFrame, clients: DataFrame | None) -> DataFrame:
+    if clients is not None:
+        known = clients.select(F.col("id").alias("_id"), F.col("client_id").alias("_client"))
+        rows = rows.join(known, F.col("client_id") == F.col("_id"), "left").withColumn("client_id", F.col("_client"))
     places = locations.select(F.col("code").alias("_code"), F.col("name").alias("location"), "state")
     return rows.join(places, F.col("location_code_after") == F.col("_code"), "left").select(
         "portfolio_date", "client_id", "product_code", "location", "state",
@@ -101,11 +104,13 @@ def _named(rows: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
-def portfolio_daily_balance(transactions: DataFrame, locations: DataFrame, through: str | Column) -> DataFrame:
+def portfolio_daily_balance(transactions: DataFrame, locations: DataFrame, through: str | Column,
+                            clients: DataFrame | None = None) -> DataFrame:
     """Dense balance per client, product, location and day, up to the maturity horizon.
 
     Without maturity the series runs to ``through``; with the last transaction on or before
     maturity to one month after maturity; else to one month after the last transaction.
+    With ``clients`` (id, client_id) the business id of the client is returned, null for an unknown one.
     """
     known = F.col("volume").isNotNull()
     last = F.struct("created", "transaction_id", "position")
@@ -131,11 +136,15 @@ def portfolio_daily_balance(transactions: DataFrame, locations: DataFrame, throu
     dense = explode_days(bounded, F.col("day"), F.col("_until"), "portfolio_date").select(
         "portfolio_date", *KEYS, "_last.total_volume_after", F.col("_last.created").alias("latest_trans_at")
     )
-    return _named(dense, locations)
+    return _named(dense, locations, clients)
 
 
-def portfolio_incremental(transactions: DataFrame, locations: DataFrame, as_of: str | Column) -> DataFrame:
-    """Latest balance per client, product and location within the horizon, stamped the day before ``as_of``."""
+def portfolio_incremental(transactions: DataFrame, locations: DataFrame, as_of: str | Column,
+                          clients: DataFrame | None = None) -> DataFrame:
+    """Latest balance per client, product and location within the horizon, stamped the day before ``as_of``.
+
+    ``clients`` as for the daily balance.
+    """
     yesterday = F.date_sub(as_date(as_of), 1)
     maturity, created = F.col("product_maturity_date"), F.col("created")
     late = created > maturity.cast("timestamp")
@@ -148,4 +157,4 @@ def portfolio_incremental(transactions: DataFrame, locations: DataFrame, as_of:
         *KEYS, "total_volume_after", F.col("created").alias("latest_trans_at"), "transaction_id", "position"
     )
     latest = latest_row(kept, KEYS, ["latest_trans_at", "transaction_id", "position"])
-    return _named(latest.withColumn("portfolio_date", yesterday), locations)
+    return _named(latest.withColumn("portfolio_date", yesterday), locations, clients)

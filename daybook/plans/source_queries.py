@@ -78,9 +78,18 @@ def _snapshot_sql(year: int) -> str:
           FROM orders WHERE o_orderstatus NOT IN ('P') AND o_orderdate < DATE '{year + 1}-01-01') WHERE rn = 1"""
 
 
-@query("replace_partitions", " UNION ALL ".join(_snapshot_sql(y) for y in range(1996, 2001)))
+@query(
+    "replace_partitions",
+    """
+    SELECT y || '-12-31' AS date, o_custkey, o_totalprice AS account_balance FROM (
+        SELECT *, row_number() OVER (PARTITION BY y, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+        FROM orders JOIN (SELECT DISTINCT year(o_orderdate) AS y FROM orders) ON year(o_orderdate) <= y
+        WHERE o_orderstatus NOT IN ('P'))
+    WHERE rn = 1
+    """,
+)
 def replace_partitions(t: Tables):
-    """Year-end balances stored by date; the last year is loaded wrong first, then again twice."""
+    """Year-end balances of all years stored by date; the last year is loaded wrong first, then again twice."""
     path = fresh_path(t.spark, "snapshots")
 
     def snapshot(year: int):
@@ -89,13 +98,13 @@ def replace_partitions(t: Tables):
             ["o_orderkey"], "o_orderstatus", ["P"],
         ).select("date", "o_custkey", "account_balance")
 
-    years = snapshot(1996)
-    for year in range(1997, 2000):
+    *before, last = sorted(r.y for r in t.orders.select(F.year("o_orderdate").alias("y")).distinct().collect())
+    years = snapshot(last).withColumn("account_balance", F.lit(0.0))
+    for year in before:
         years = years.unionByName(snapshot(year))
-    wrong = snapshot(2000).withColumn("account_balance", F.lit(0.0))
-    tables.replace_partitions(years.unionByName(wrong), path, "date")
+    tables.replace_partitions(years, path, "date")
     for _ in range(2):
-        tables.replace_partitions(snapshot(2000), path, "date")
+        tables.replace_partitions(snapshot(last), path, "date")
     return t.spark.read.parquet(path).select(day_text("date").alias("date"), "o_custkey", "account_balance")
 
 

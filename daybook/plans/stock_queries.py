@@ -68,6 +68,10 @@ def portfolio_locations(t: Tables):
                            F.concat(F.lit("Zone "), F.col("r_regionkey")).alias("state"))
 
 
+def portfolio_clients(t: Tables):
+    return t.nation.select(F.col("n_name").alias("id"), F.concat(F.lit("C-"), F.col("n_nationkey")).alias("client_id"))
+
+
 def described(t: Tables):
     return portfolio.describe_log(portfolio_log(t), portfolio_products(t), portfolio_locations(t), SINCE, SPECIAL)
 
@@ -173,15 +177,15 @@ def moved_volume_per_location(t: Tables):
     filled AS (
         SELECT client, p_type, loc_after, date, max(volume_after) OVER g AS balance, max(created) OVER g AS latest
         FROM numbered WINDOW g AS (PARTITION BY client, p_type, loc_after, grp))
-    SELECT client, 'P-' || p_type AS product_code, lower(r_name) AS location,
+    SELECT 'C-' || n_nationkey AS client, 'P-' || p_type AS product_code, lower(r_name) AS location,
            'Zone ' || r_regionkey AS state, strftime(date, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS days,
            round(sum(balance), 2) AS sum_balance, CAST(CAST(max(latest) AS DATE) AS VARCHAR) AS latest_trans
-    FROM filled JOIN region ON r_name = loc_after GROUP BY ALL
+    FROM filled JOIN region ON r_name = loc_after LEFT JOIN nation ON n_name = filled.client GROUP BY ALL
     """,
 )
 def portfolio_daily_balance(t: Tables):
     """The dense table reported per client, product, location and month."""
-    dense = portfolio.portfolio_daily_balance(transactions(t), portfolio_locations(t), THROUGH)
+    dense = portfolio.portfolio_daily_balance(transactions(t), portfolio_locations(t), THROUGH, portfolio_clients(t))
     return per_month(
         dense, [F.col("client_id").alias("client"), "product_code", "location", "state"], "portfolio_date",
         F.count("*").alias("days"), rounded(F.sum("total_portfolio_balance"), 2).alias("sum_balance"),
@@ -193,18 +197,19 @@ def portfolio_daily_balance(t: Tables):
     "portfolio_incremental",
     PORTFOLIO_SQL
     + """
-    SELECT '2001-12-31' AS portfolio_date, client, 'P-' || p_type AS product_code,
+    SELECT '2001-12-31' AS portfolio_date, 'C-' || n_nationkey AS client, 'P-' || p_type AS product_code,
            lower(loc_after) AS location,
            volume_after AS balance, CAST(CAST(created AS DATE) AS VARCHAR) AS latest_trans
     FROM (SELECT *, row_number() OVER (PARTITION BY client, p_type, loc_after ORDER BY created DESC, l_orderkey DESC, pos DESC) AS rn
           FROM moved WHERE volume IS NOT NULL AND (
             maturity IS NULL OR (created <= maturity AND maturity + INTERVAL 1 MONTH >= DATE '2001-12-31')
-            OR (created > maturity AND created + INTERVAL 1 MONTH >= DATE '2001-12-31')))
+            OR (created > maturity AND created + INTERVAL 1 MONTH >= DATE '2001-12-31'))) last_rows
+    LEFT JOIN nation ON n_name = last_rows.client
     WHERE rn = 1
     """,
 )
 def portfolio_incremental(t: Tables):
-    latest = portfolio.portfolio_incremental(transactions(t), portfolio_locations(t), AS_OF)
+    latest = portfolio.portfolio_incremental(transactions(t), portfolio_locations(t), AS_OF, portfolio_clients(t))
     return latest.select(
         day_text("portfolio_date").alias("portfolio_date"), F.col("client_id").alias("client"), "product_code", "location",
         F.col("total_portfolio_balance").alias("balance"), day_text("latest_trans_at").alias("latest_trans"),

@@ -23,13 +23,17 @@ def list_documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
 def ingest_new_documents(documents: DataFrame, existing: DataFrame) -> DataFrame:
     """Documents whose content hash is not stored yet, one per hash, with their text.
 
-    ``documents``: file_hash, document_name, creation_date, content. Copies are reduced inside
-    each task first, so a group of copies sends one row per task through the shuffle; among
-    copies the earliest by time and name is kept.
+    ``documents``: file_hash, document_name, creation_date, content. The choice is made on hash, time and name alone:
+    stored hashes go first, then among copies the earliest by time and name is kept. Contents move once, to the
+    chosen rows; rows equal in all three have equal contents, and one of them is taken.
     """
-    one = first_row(documents, ["file_hash"], ["creation_date", "document_name"])
+    order = ["file_hash", "creation_date", "document_name"]
     known = existing.select(F.col("file_hash").alias("_known")).where("_known IS NOT NULL").distinct()
-    new = one.join(known, F.col("file_hash") == F.col("_known"), "left_anti")
+    unknown = documents.select(*order).join(known, F.col("file_hash") == F.col("_known"), "left_anti")
+    one = first_row(unknown, ["file_hash"], ["creation_date", "document_name"])
+    chosen = one.select(*[F.col(c).alias(f"_{c}") for c in order])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]
+    new = documents.join(chosen, same, "left_semi").dropDuplicates(order)
     return new.select(
         "file_hash", "document_name", "creation_date",
         document_text(F.col("document_name"), F.col("content")).alias("document_text"),

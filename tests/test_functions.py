@@ -93,6 +93,13 @@ def test_codes_follow_sorted_order(table):
     assert got == {w: i for i, w in enumerate(sorted({w for w in words if w}, key=lambda s: s.encode()))}
 
 
+def test_codes_of_many_values_with_a_common_start(spark):
+    df = spark.range(100_000).select(F.lit("x").alias("g"), F.format_string("http://%07d", (F.col("id") * 7919) % 100_000).alias("v"))
+    coded = ranks.ordered_codes(df, "g", "v")
+    assert coded.where(F.substring("v", 8, 7).cast("long") != F.col("code")).count() == 0
+    assert coded.count() == 100_000
+
+
 def test_mode_prefers_smallest_on_tie(table):
     df = table("c string, v string", ("x", "b"), ("x", "a"), ("x", "b"), ("x", "a"), ("x", None), ("y", "q"))
     assert {r.c: r.mode for r in quantiles.most_frequent(df, ["c"], "v").collect()} == {"x": "a", "y": "q"}

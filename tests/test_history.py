@@ -23,22 +23,17 @@ def test_cumulative_history(films):
     assert got[("a", 2002)] == ("Star", 2, False, ["i1", "i2"])
     assert got[("a", 2004)] == ("Average", 1, False, ["i1", "i2", "i3"])
     assert got[("c", 2004)][0] == "Bad"
-    assert set(r.chunk for r in rows) == {0} and len(rows) == 5 + 4 + 3
+    assert len(rows) == 5 + 4 + 3
     assert rows[0].films[0].asDict().keys() == set(COLUMNS)
 
 
-def test_large_entity_is_divided_without_loss(spark):
-    rows = [("hot", 2000 + i % 3, f"f{i}", 1, 7.5, f"i{i:04d}") for i in range(600)] + FILMS
+def test_large_entity_keeps_one_row_per_period(spark):
+    rows = [("hot", 2000 + i % 3, f"f{i}", 1, 7.5, f"i{i:06d}") for i in range(120_000)] + FILMS
     df = spark.createDataFrame(rows, "actor string, year int, film string, votes int, rating double, filmid string")
-    grown = history.cumulative_history(df, ["actor"], "year", COLUMNS, "filmid", "rating", 2004, max_elements=100).collect()
-    seen = {}
-    for r in grown:
-        assert len(r.films) <= 250
-        seen.setdefault((r.actor, r.year), []).extend(f.filmid for f in r.films)
-    for (actor, year), ids in seen.items():
-        assert sorted(ids) == sorted(f[5] for f in rows if f[0] == actor and f[1] <= year)
-    assert len({r.chunk for r in grown if r.actor == "hot"}) > 1
-    assert {r.chunk for r in grown if r.actor != "hot"} == {0}
+    grown = history.cumulative_history(df, ["actor"], "year", COLUMNS, "filmid", "rating", 2004)
+    sizes = {(r.actor, r.year): r.n for r in grown.selectExpr("actor", "year", "size(films) n").collect()}
+    assert grown.count() == len(sizes)
+    assert [sizes["hot", y] for y in range(2000, 2005)] == [40_000, 80_000, 120_000, 120_000, 120_000]
 
 
 def periods(table, *rows):
