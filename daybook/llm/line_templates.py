@@ -3,11 +3,11 @@
 1. **Tree.** A line is split at white space. Words with a digit are fields (``<*>``). Its leaf has the depth ``DEPTH + 1``: the number of words, then the
    first ``DEPTH`` words, a field standing for itself. Leaves that lines of fewer than ``MIN_DOCS`` documents reach hold no recurring
    template and are left at once; this keeps nearly all lines out of what follows.
-2. **Generalisation.** Within a leaf, a word is constant at its place if lines of at least ``MIN_DOCS`` documents have it there, and is
-   a field otherwise. The template of a line is its constant words and fields. Places and words are counted, not compared
-   pairwise. Lines that are equal but for fields are counted as one; their words are taken apart once.
-3. **Recurrence.** A template of which at least ``MIN_CONSTANT`` of the words are constant and which lines of at least ``MIN_DOCS`` documents have
-   is recurring; all its lines are dropped.
+2. **Generalisation.** Within a leaf, the words of a line become fields one after another, those first that the fewest lines have at their
+   place, as long as at least ``MIN_CONSTANT`` of its words are left. So each line has a chain of templates, from itself to the most general.
+   Only the order of the words' frequencies counts, not their size: in a larger corpus the values of a variable field are as variable as in
+   a small one. Places and words are counted, not compared pairwise. Lines that are equal but for fields are counted as one.
+3. **Recurrence.** A template that lines of at least ``MIN_DOCS`` documents have in their chains is recurring; all these lines are dropped.
 
 Lines end at line feeds. Lines without words are kept and never a template. Null texts have no lines and stay null. Rows that repeat
 both id and text count as one document and are reported each. An empty table gives an empty result.
@@ -82,44 +82,63 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     found = wanted.mapInArrow(lambda b: tidy(_masked(b, arrow_masked)), shape)
     found = store(found.withColumn("shape", F.xxhash64("masked")), "line-masked")
     shapes, rows = _shapes(found, min_docs)
-    dropped = store(_recurring_shapes(shapes, rows, min_docs, min_constant), "line-shapes-dropped")
+    dropped = store(_recurring_shapes(shapes, rows, depth, min_docs, min_constant), "line-shapes-dropped")
     return found.select("row", "line", "leaf", "shape").join(dropped, ["leaf", "shape"]).select("row", "line", "template")
 
 
 def _shapes(found: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """The different masked lines, with ``frequent`` where ``min_docs`` documents have one, and (leaf, shape, row) of the others."""
+    """The different masked lines with their documents, ``frequent`` from ``min_docs`` on, and (leaf, shape, row) of the others."""
     rows = store(found.select("leaf", "shape", "row").distinct(), "line-rows")
-    counts = rows.groupBy("leaf", "shape").agg((F.count(F.lit(1)) >= min_docs).alias("frequent"))
+    counts = rows.groupBy("leaf", "shape").agg(F.count(F.lit(1)).alias("docs")).withColumn("frequent", F.col("docs") >= min_docs)
     shapes = store(found.select("leaf", "shape", "masked").distinct().join(counts, ["leaf", "shape"]), "line-shapes")
     return shapes, rows.join(shapes.where("not frequent").select("leaf", "shape"), ["leaf", "shape"], "left_semi")
 
 
-def _recurring_shapes(shapes: DataFrame, rows: DataFrame, min_docs: int, min_constant: float) -> DataFrame:
-    """(leaf, shape, template) of the masked lines whose template recurs.
+def _places(shapes: DataFrame, depth: int, min_docs: int, min_constant: float) -> DataFrame:
+    """Per masked line: its words by place with their support, the number of constant words of its leaf, and of all words.
 
-    All words of a frequent masked line are constant, and it is its own template, which recurs. So only the words of rarer ones are
-    counted by document, ``rows`` being theirs; a word of a frequent line at the same place is constant already.
+    The support of a word at its place is the sum of the documents of the masked lines of the leaf that have it there. Words whose
+    support is below ``min_docs`` are left out: no template with them recurs.
     """
     place = ["leaf", "place", "word"]
-    words = shapes.select("leaf", "shape", "frequent", F.posexplode(F.split("masked", " ")).alias("place", "word"))
-    rare = words.where("not frequent").drop("frequent")
-    plain = F.col("word") != FIELD
-    sure = words.where(F.col("frequent") & plain).select(*place)
-    support = rare.where(plain).join(rows, ["leaf", "shape"]).select(*place, "row").distinct().groupBy(*place).count()
-    constant = store(sure.unionAll(support.where(F.col("count") >= min_docs).select(*place)).distinct(), "line-constant")
-    marked = rare.join(constant.withColumn("constant", F.lit(1)), place, "left")
-    word = F.when(F.col("constant") == 1, F.col("word")).otherwise(F.lit(FIELD))
-    templates = marked.groupBy("leaf", "shape").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", word.alias("word")))), lambda e: e["word"]), " ").alias("template"),
-        F.avg(F.coalesce("constant", F.lit(0))).alias("share"),
-    )
-    named = store(templates.where(F.col("share") >= min_constant).drop("share"), "line-templates")
     all_words = F.split("masked", " ")
-    share = F.size(F.filter(all_words, lambda w: w != FIELD)) / F.size(all_words)
-    frequent = shapes.where(F.col("frequent") & (share >= min_constant)).select("leaf", "shape", F.col("masked").alias("template"))
-    counted = named.join(rows, ["leaf", "shape"]).select("leaf", "template", "row").distinct().groupBy("leaf", "template").count()
-    recurring = frequent.select("leaf", "template").unionAll(counted.where(F.col("count") >= min_docs).select("leaf", "template"))
-    return frequent.unionAll(named.join(recurring, ["leaf", "template"], "left_semi").select("leaf", "shape", "template"))
+    plain = lambda words: F.size(F.filter(words, lambda w: w != FIELD))
+    wide = shapes.where(plain(all_words) >= F.size(all_words) * min_constant)
+    kept = ["leaf", "shape", "frequent", "docs", plain(F.slice(all_words, 1, depth)).alias("fixed"), F.size(all_words).alias("size")]
+    later = wide.select(*kept, F.posexplode(all_words).alias("place", "word")).where((F.col("place") >= depth) | (F.col("place") == F.col("size") - 1))
+    # the words of the leaf itself are those of all its lines
+    open_ = (F.col("place") >= depth) & (F.col("word") != FIELD)
+    support = later.where(open_).groupBy(*place).agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    entry = F.when(F.col("support").isNotNull(), F.struct("support", "place", F.xxhash64("word").alias("word")))
+    return later.join(support, place, "left").groupBy("leaf", "shape", "frequent", "docs", "fixed", "size").agg(F.collect_list(entry).alias("words"))
+
+
+def _generalised(places: DataFrame, min_constant: float) -> DataFrame:
+    """(leaf, shape, frequent, docs, floor, template): each masked line with its words of least support made fields, one support after another."""
+    floors = F.array_distinct(F.concat(F.transform("words", lambda w: w["support"]), F.array(F.lit((1 << 63) - 1))))
+    at = places.select("*", F.explode(floors).alias("floor"))
+    at = at.withColumn("words", F.filter("words", lambda w: w["support"] >= F.col("floor"))).where(F.col("fixed") + F.size("words") >= F.col("size") * min_constant)
+    words = F.array_sort(F.transform("words", lambda w: F.struct(w["place"].alias("place"), w["word"].alias("word"))))
+    return at.select("leaf", "shape", "frequent", "docs", "floor", F.xxhash64("leaf", words).alias("template"))
+
+
+def _recurring_shapes(shapes: DataFrame, rows: DataFrame, depth: int, min_docs: int, min_constant: float) -> DataFrame:
+    """(leaf, shape, template) of the masked lines of which a generalisation recurs, with the most special one that does.
+
+    All generalisations of a frequent masked line recur. Those of rarer ones are counted by document, ``rows`` being theirs, where the
+    documents of their masked lines are enough together.
+    """
+    places = store(_places(shapes, depth, min_docs, min_constant), "line-places")
+    chain = _generalised(places, min_constant)
+    sums = chain.groupBy("template").agg(F.sum("docs").alias("n"), F.max("frequent").alias("sure")).where(F.col("n") >= min_docs)
+    likely = store(chain.join(sums.select("template", "sure"), "template").drop("docs"), "line-likely")
+    counted = likely.where("not sure").join(rows, ["leaf", "shape"]).select("template", "row").distinct().groupBy("template").count()
+    recurring = likely.where("sure").select("template").distinct().unionAll(counted.where(F.col("count") >= min_docs).select("template"))
+    least = likely.join(recurring, "template", "left_semi").groupBy("leaf", "shape").agg(F.min("floor").alias("floor"))
+    held = F.transform(F.filter("words", lambda w: w["support"] >= F.col("floor")), lambda w: w["place"])
+    named = least.join(places, ["leaf", "shape"]).select("leaf", "shape", held.alias("held"))
+    word = lambda w, i: F.when((i < depth) | F.array_contains("held", i), w).otherwise(F.lit(FIELD))
+    return named.join(shapes, ["leaf", "shape"]).select("leaf", "shape", F.array_join(F.transform(F.split("masked", " "), word), " ").alias("template"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:

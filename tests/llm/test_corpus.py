@@ -436,3 +436,13 @@ def test_pipeline_stages(spark):
     assert now.columns == columns and {i for i, _ in texts} == kept and not any(r[5] for r in brute_windows(texts, items))
     pieces = steps["packing"](spark, now, FOLDER).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     assert {r[0] for r in pieces} == kept and all(r[1] == r[2] for r in pieces)
+
+
+@pytest.mark.parametrize("size", [300, 3000])
+def test_line_templates_do_not_depend_on_size(spark, size):
+    rng = random.Random(8)
+    names, cities = ([f"{kind}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(104)] for kind in ("n", "c"))
+    rows = [(k, f"Posted on the web by {rng.choice(names)} in {rng.choice(cities)}\n" + " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(8))) for k in range(size)]
+    found = line_templates.drop_recurring_lines(docs_of(spark, rows)).collect()
+    assert {(r.n_lines, r.n_dropped) for r in found} == {(2, 1)}
+    assert {r.text for r in found} == {t.split("\n")[1] for _, t in rows}
