@@ -446,3 +446,13 @@ def test_line_templates_do_not_depend_on_size(spark, size):
     found = line_templates.drop_recurring_lines(docs_of(spark, rows)).collect()
     assert {(r.n_lines, r.n_dropped) for r in found} == {(2, 1)}
     assert {r.text for r in found} == {t.split("\n")[1] for _, t in rows}
+
+
+def test_numbers_inside_sentences_are_candidates(spark):
+    numbers = ["555-123-4567", "078-05-1120", "(030) 1234567", "+49 30 1234567", "2024/11/05"]
+    rows = [(k, f"call {n}{end}") for k, (n, end) in enumerate((n, end) for n in numbers for end in ("", " now", ".", ", ok", ": ok", "/ ok", ") ok", "- ok", "\n"))]
+    rows += [(900, "1 " * 9000), (901, "12 is 345."), (902, "(" * 9000 + "1")]
+    found = personal_data.prepared(docs_of(spark, rows)).select("key", personal_data.F.filter("candidates", lambda c: c["kind"] == "number")["text"].alias("texts")).collect()
+    texts = {r.key: r.texts for r in found}
+    assert all(texts[k] == [t[5:].rstrip(" nowk,:/)-.\n")] for k, t in rows[:45])
+    assert sum(len(re.sub(r"\D", "", t)) for t in texts[900]) >= 8990 and texts[901] == texts[902] == []
