@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -34,11 +36,22 @@ FUZZY_LENGTH = 5
 THRESHOLD = 0.7
 WINDOW = 48
 
-TOP = 0x250
-_LETTERS = [chr(i) for i in range(TOP)]
-ALNUM = np.array([c.isalnum() for c in _LETTERS] + [True])
-LOWER = np.array([ord(c.lower()) if len(c.lower()) == 1 and ord(c.lower()) < TOP else i for i, c in enumerate(_LETTERS)] + [TOP], np.int32)
-INNER = np.array([c in "@$*!'-_" for c in _LETTERS] + [False])
+TOP = sys.maxunicode
+
+
+def _inside(c: str) -> bool:
+    """Whether a sign can stand in a word: letters, digits and the marks written with them, but not those that choose the look of a symbol."""
+    return c.isalnum() or (unicodedata.category(c) in ("Mn", "Mc") and not ("\ufe00" <= c <= "\ufe0f" or "\U000e0100" <= c <= "\U000e01ef"))
+
+
+_SIGNS = list(map(chr, range(TOP + 1)))
+ALNUM = np.fromiter(map(_inside, _SIGNS), bool, TOP + 1)
+LOWER = np.fromiter((ord(x) if len(x) == 1 else i for i, x in enumerate(map(str.lower, _SIGNS))), np.int32, TOP + 1)
+# typographic apostrophe and hyphens are read as the plain ones
+LOWER[[0x2019, 0x2010, 0x2011]] = [ord("'"), ord("-"), ord("-")]
+INNER = np.zeros(TOP + 1, bool)
+INNER[[ord(c) for c in "@$*!'-_"]] = True
+del _SIGNS
 
 # fixed values: words that report speech or address someone, in the four languages of the texts
 REPORTING = "said says called wrote quote quoted word term sagte nannte schrieb wort dit appelle mot dijo llama palabra".split()
@@ -49,10 +62,9 @@ _ADDRESS = re.compile(r"\b(?:" + "|".join(ADDRESS) + r")\b")
 
 
 def codes(data: np.ndarray) -> tuple[str, np.ndarray]:
-    """The text of UTF-8 bytes and its code points, those from TOP on as TOP."""
+    """The text of UTF-8 bytes and its code points."""
     text = data.tobytes().decode("utf-8", "replace")
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    return text, np.minimum(points, TOP).astype(np.int32)
+    return text, np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int32)
 
 
 def tokens(points: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +74,9 @@ def tokens(points: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if len(points) > 2:
         joined[1:-1] &= inside[:-2] & inside[2:]
     joined[:1] = joined[-1:] = False
+    # the neighbours of a row's first and last sign are in other rows
+    joined[edges[edges < len(points)]] = False
+    joined[edges[edges > 0] - 1] = False
     inside = inside | joined
     start, end = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
@@ -88,8 +103,9 @@ class Automaton:
                     ends.append(-1)
                 node = children[node][letter]
             ends[node] = number
-        letters = sorted({c for t in terms for c in t if ord(c) < TOP})
-        self.symbol = np.zeros(TOP + 1, np.int32)
+        letters = sorted({c for t in terms for c in t})
+        # all code points above the letters of the terms share the last place
+        self.symbol = np.zeros(max(map(ord, letters), default=0) + 2, np.int32)
         for i, c in enumerate(letters):
             self.symbol[ord(c)] = i + 1
 
@@ -118,8 +134,7 @@ class Automaton:
 
             row = np.full(len(letters) + 1, numbered(other), np.int32)
             for letter, matched in by_letter.items():
-                if ord(letter) < TOP:
-                    row[self.symbol[ord(letter)]] = numbered(other | matched)
+                row[self.symbol[ord(letter)]] = numbered(other | matched)
             rows.append(row)
         self.table = np.stack(rows)
         self.exact = np.full(len(rows), -1, np.int32)
@@ -149,7 +164,7 @@ class Automaton:
                 live, state = live[~done], state[~done]
             if not len(live):
                 break
-            state = self.table[state, self.symbol[points[start[live] + step]]]
+            state = self.table[state, self.symbol[np.minimum(points[start[live] + step], len(self.symbol) - 1)]]
             alive = state > 0
             live, state = live[alive], state[alive]
         words, states = np.concatenate(words or [np.zeros(0, np.int64)]), np.concatenate(states or [np.zeros(0, np.int32)])
@@ -180,7 +195,7 @@ def found_terms(column: pa.Array, automaton: Automaton) -> Iterator[tuple[list[t
         if edges[-1] != len(points):  # not valid UTF-8: row by row
             rows = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
             text = "".join(rows)
-            points = np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), TOP).astype(np.int32)
+            points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int32)
             edges = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
         points = LOWER[points]
         start, end = tokens(points, edges)
@@ -245,7 +260,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     entry[0] += 1
                     entry[1] += labels[row]
                 row += 1
-        names = [w for w in counts if chr(TOP) not in w]
+        names = list(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([counts[w][0] for w in names], pa.int64()), pa.array([counts[w][1] for w in names], pa.int64())],
             names=["word", "n", "toxic"],

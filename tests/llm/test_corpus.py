@@ -456,3 +456,16 @@ def test_numbers_inside_sentences_are_candidates(spark):
     texts = {r.key: r.texts for r in found}
     assert all(texts[k] == [t[5:].rstrip(" nowk,:/)-.\n")] for k, t in rows[:45])
     assert sum(len(re.sub(r"\D", "", t)) for t in texts[900]) >= 8990 and texts[901] == texts[902] == []
+
+
+def test_terms_beside_any_sign():
+    import pyarrow as pa
+
+    automaton = toxicity.Automaton(["idiot", "scum", "идиот", "मूर्ख", "d'oh"])
+    texts = {
+        "\u201cidiot\u201d": (0, True, 1), "\u2018scum\u2019 ": (1, True, 1), "\U0001f600idiot\U0001f600": (0, False, 1), "\u2764\ufe0fscum\u2764\ufe0f": (1, False, 1),
+        "x\u2014scum\u2014y": (1, False, 3), "idiot\u2026stupid": (0, False, 2), "Ты ИДИОТ!": (2, False, 2), "तुम मूर्ख हो": (3, False, 3), "D\u2019OH": (4, False, 1),
+    }
+    found = list(toxicity.found_terms(pa.array(list(texts)), automaton))
+    for (hits, words), (text, want) in zip(found, texts.items()):
+        assert [(int(automaton.exact[s]), q) for s, q, _ in hits] == [want[:2]] and words == want[2], text
