@@ -34,6 +34,7 @@ SHARE = 0.6
 MIN_PAGES = 5
 TEXT_SHARE = 0.8
 TEXT_MIN_PAGES = 10
+WRAPPER = 0.8
 BROADCAST_BYTES = 32 << 20
 
 # fixed values: elements of HTML by their role
@@ -55,6 +56,9 @@ ASIDE_WORDS = set(
     "toolbar topbar widget widgets contentinfo complementary search dialog alert alertdialog".split()
 )
 HEADER_WORDS = {"header", "masthead"}
+COMMENT_WORDS = set("comment comments commentlist disqus replies reply respond".split())
+# words that tell the state of an element, not what it is
+STATE_WORDS = set("has have with without no not is on off open opened closed enabled disabled allowed active".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -62,15 +66,36 @@ WORD = re.compile(r"[a-z]+")
 
 
 class Block:
-    __slots__ = ("path", "text", "aside", "inside")
+    """A block of text. ``hard``: in a part that its element names or hides; ``soft``: the numbers of the elements around it that only a word puts aside."""
 
-    def __init__(self, path: str, text: str, aside: bool, inside: bool):
-        self.path, self.text, self.aside, self.inside = path, text, aside, inside
+    __slots__ = ("path", "text", "hard", "soft", "aside", "inside")
+
+    def __init__(self, path: str, text: str, hard: bool, soft: tuple[int, ...], inside: bool):
+        self.path, self.text, self.hard, self.soft, self.inside = path, text, hard, soft, inside
+        self.aside = hard or bool(soft)
+
+
+def judge(blocks: list[Block], whole: set[int]) -> None:
+    """Elements that only a word puts aside are wrappers, not aside, if they hold ``WRAPPER`` of a page's text, or at least half of it in an
+    article opened in them. Those in ``whole``, named by the bare word, are none."""
+    total, held, articles = 0, {}, {}
+    for block in blocks:
+        if not block.hard:
+            total += len(block.text)
+            for number in block.soft:
+                held[number] = held.get(number, 0) + len(block.text)
+                articles[number] = articles.get(number, 0) + (len(block.text) if block.inside > number else 0)
+    wrappers = {n for n in held if n not in whole and (held[n] >= WRAPPER * total or articles[n] * 2 >= total)}
+    for block in blocks:
+        block.aside = block.hard or any(n not in wrappers for n in block.soft)
 
 
 def blocks_of(page: str) -> tuple[list[Block], dict[str, int]]:
     """The blocks of text of a page in order, and how often each element path occurs."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, aside, inside an article
+    # name, path, hard and soft as in a block, number of the outermost article around it
+    stack: list[tuple[str, str, bool, tuple[int, ...], int]] = [("", "", False, (), 0)]
+    whole: set[int] = set()
+    opened = 0
     blocks: list[Block] = []
     counts: dict[str, int] = {}
     parts: list[str] = []
@@ -80,8 +105,7 @@ def blocks_of(page: str) -> tuple[list[Block], dict[str, int]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                _, path, aside, inside = stack[-1]
-                blocks.append(Block(path, text, aside, inside))
+                blocks.append(Block(stack[-1][1], text, *stack[-1][2:]))
             parts.clear()
 
     def pop(names: set[str], stop: set[str]) -> None:
@@ -130,17 +154,27 @@ def blocks_of(page: str) -> tuple[list[Block], dict[str, int]]:
         own = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
         label = " ".join(own.get(k, "") for k in ("id", "class", "role"))
         words = set(WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower())) if label.strip() else set()
-        _, path, aside, inside = stack[-1]
-        inside = inside or name in ("article", "main") or own.get("role") == "main"
+        _, path, hard, soft, inside = stack[-1]
+        opened += 1
+        if name == "main" or own.get("role") == "main":
+            soft = ()
+        if name in ("article", "main") or own.get("role") == "main":
+            inside = inside or opened
         # a header inside the article is its heading
-        if name in ASIDE or words & (ASIDE_WORDS - (HEADER_WORDS if inside else set())) or (not inside and (name == "header" or words & HEADER_WORDS)):
-            aside = aside or name not in ("html", "body", "article", "main")
+        named = words & (ASIDE_WORDS - (HEADER_WORDS if inside else set())) or (words & HEADER_WORDS if not inside else set())
+        if name in ASIDE or (not inside and name == "header"):
+            hard = True
+        elif named and name not in ("html", "body", "article", "main") and own.get("role") != "main":
+            soft = (*soft, opened)
+            if any(t in named for t in label.lower().split()) or (named & COMMENT_WORDS and not words & STATE_WORDS):
+                whole.add(opened)
         if "hidden" in own.get("style", "").replace(" ", "") and "visibility:hidden" in own.get("style", "").replace(" ", "") or "display:none" in own.get("style", "").replace(" ", ""):
-            aside = True
+            hard = True
         path = f"{path}/{name}" + (f".{'.'.join(sorted(words))}" if words else "")
         counts[path] = counts.get(path, 0) + 1
-        stack.append((name, path, aside, inside))
+        stack.append((name, path, hard, soft, inside))
     flush()
+    judge(blocks, whole)
     return blocks, counts
 
 
@@ -229,7 +263,7 @@ def _slot(elements):
 def main_text(page: str, slot: str | None, boilerplate: set[int]) -> str:
     """The text of the article of a page."""
     blocks, counts = blocks_of(page)
-    wanted = [b for b in blocks if not b.aside]
+    wanted = [b for b in blocks if not b.aside] or [b for b in blocks if not b.hard]
     if slot and slot in counts:
         chosen = [b for b in wanted if b.path == slot or b.path.startswith(slot + "/")]
         if any(b.inside for b in chosen):

@@ -469,3 +469,17 @@ def test_terms_beside_any_sign():
     found = list(toxicity.found_terms(pa.array(list(texts)), automaton))
     for (hits, words), (text, want) in zip(found, texts.items()):
         assert [(int(automaton.exact[s]), q) for s, q, _ in hits] == [want[:2]] and words == want[2], text
+
+
+@pytest.mark.parametrize("start,end", [
+    ("<div class='page has-sidebar'>", "</div>"), ("<div class='post comments-open'><article>", "</article></div>"), ("<section id='search-main'>", "</section>"),
+    ("<div class='content share-enabled'><main>", "</main></div>"), ("<div class='widget'><main>", "</main></div>"),
+])
+def test_wrappers_named_by_a_word_keep_the_article(start, end):
+    article = "".join(f"<p>Paragraph {k} of the article, long enough to be one.</p>" for k in range(6))
+    page = f"<body><nav>Home</nav>{start}<h1>Head</h1>{article}<div class='related-posts'><p>Other</p></div>{end}<div class='sidebar-left'><p>Links</p></div><div class=comments>{'<p>I say so too, again and again.</p>' * 30}</div></body>"
+    small = page.replace("I say so too, again and again.", "No.").replace("<p>No.</p>" * 29, "")
+    want = "\n\n".join(["Head", *(f"Paragraph {k} of the article, long enough to be one." for k in range(6))])
+    assert html_text.main_text(small, None, set()) == want
+    if "main>" in start:
+        assert html_text.main_text(page, None, set()) == want
