@@ -6,10 +6,10 @@
    all pages is counted within tasks first and no page is sent anywhere.
 3. Classes in at least ``SHARE`` of a host's pages make its template, nested by their paths. Its root class holds the elements that occur once in
    each page. Descending through them into the one whose text varies most between pages leads to the slot of the article.
-   Blocks whose very text is a token in ``TEXT_SHARE`` of at least ``TEXT_MIN_PAGES`` pages are boilerplate, unless nothing else is left
-   of a page: then its article is itself repeated.
+   Blocks whose very text is a token in ``TEXT_SHARE`` of at least ``TEXT_MIN_PAGES`` pages are boilerplate, but never inside an ``article`` or
+   ``main`` element, nor where they are the larger part of a page's slot: then the article is itself repeated.
 4. A page's text is what remains in that slot: blocks outside of menus, headers, footers, sidebars, notices, adverts, forms and comments, and not
-   part of the template.
+   part of the template. An element that only a word in its id, class or role puts aside is a wrapper, and stays, if it holds most of the page's text.
 
 Hosts with fewer than ``MIN_PAGES`` pages, and pages without their host's slot, are read by their own ``article`` or ``main`` element, or
 else the body. Templates hold at most ``1 / SHARE`` times the tokens of a page; they are broadcast only below ``BROADCAST_BYTES``, beyond that joined.
@@ -270,8 +270,11 @@ def main_text(page: str, slot: str | None, boilerplate: set[int]) -> str:
             chosen = [b for b in chosen if b.inside]
     else:
         chosen = [b for b in wanted if b.inside] or wanted
-    kept = [b.text for b in chosen if hashed(b.path, b.text) not in boilerplate] if boilerplate else []
-    return "\n\n".join(kept or [b.text for b in chosen])
+    kept = [b for b in chosen if b.inside or hashed(b.path, b.text) not in boilerplate] if boilerplate else []
+    # what repeated blocks mostly consist of is an article found on other pages too
+    if 2 * sum(len(b.text) for b in kept) < sum(len(b.text) for b in chosen):
+        kept = chosen
+    return "\n\n".join(b.text for b in kept)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:

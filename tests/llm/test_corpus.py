@@ -483,3 +483,14 @@ def test_wrappers_named_by_a_word_keep_the_article(start, end):
     assert html_text.main_text(small, None, set()) == want
     if "main>" in start:
         assert html_text.main_text(page, None, set()) == want
+
+
+def test_near_copies_on_one_host_keep_their_text(spark):
+    shared = [f"Paragraph {k} that all pages of the host have, with words enough." for k in range(5)]
+    rows, want = [], {}
+    for n in range(24):
+        own, kind = f"Updated on day {n}", ("article", "div")[n % 2]
+        rows.append((n, f"https://{kind}.example.org/{n}", f"<body><nav>Home</nav><{kind}><p>{own}</p>" + "".join(f"<p>{p}</p>" for p in shared) + f"</{kind}><footer>Us</footer></body>"))
+        want[n] = "\n\n".join([own, *shared])
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == want
