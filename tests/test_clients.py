@@ -111,3 +111,11 @@ def test_saved_model_scores_with_training_statistics(spark, tmp_path):
     new = spark.createDataFrame([(1, 1.0, "x"), (2, 9.0, "y"), (3, None, "unseen")], "id int, income double, region string")
     got = {r.id: r.predicted_cluster for r in models.score_clients(path, new, "cluster").collect()}
     assert got[1] == "low" and got[2] == "high" and got[3] in ("low", "high")
+
+
+def test_classifier_query_uses_the_defaults(monkeypatch):
+    from daybook.plans import client_queries
+
+    monkeypatch.setattr(client_queries, "model_rows", lambda t: ("train", "test"))
+    monkeypatch.setattr(client_queries.models, "train_classifiers", lambda *a, **k: [(a, k)])
+    assert client_queries.train_classifiers(None) == (("train", "test", client_queries.MODEL_COLUMNS, "predicted_cluster"), {})
