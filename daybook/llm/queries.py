@@ -152,3 +152,43 @@ def op2_line_templates(spark, folder):
     from daybook.llm.line_templates import drop_recurring_lines
 
     return drop_recurring_lines(table(spark, folder, "documents"))
+
+
+@query(
+    "op11_filter_audit",
+    r"""
+    WITH l AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+               FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+    d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    f AS (
+      SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+      FROM d LEFT JOIN l USING (doc_id)),
+    c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+    x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+          WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s AS (SELECT c.*, filter_order, step, substr(filter_order, step, 1) AS letter,
+                 contains(fails, substr(filter_order, step, 1)) AS failing,
+                 translate(substr(filter_order, 1, step - 1), fails, '') = substr(filter_order, 1, step - 1) AS there
+          FROM c, o, (SELECT unnest(range(1, 6)) AS step)),
+    r AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter,
+                 coalesce(sum(n) FILTER (there AND NOT failing), 0) AS kept, coalesce(sum(n) FILTER (there AND failing), 0) AS removed,
+                 coalesce(sum(n) FILTER (NOT there AND failing), 0) AS redundant, coalesce(sum(n) FILTER (fails = letter), 0) AS unique_fails,
+                 coalesce(sum(good) FILTER (there AND failing), 0) AS good_lost, coalesce(sum(toxic) FILTER (there AND failing), 0) AS toxic_lost
+          FROM s GROUP BY ALL)
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+           CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+    FROM r
+    """,
+)
+def op11_filter_audit(spark, folder):
+    from daybook.llm.filter_audit import audit
+
+    return audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
