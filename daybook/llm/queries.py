@@ -192,3 +192,44 @@ def op11_filter_audit(spark, folder):
     from daybook.llm.filter_audit import audit
 
     return audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(
+    "op12_divergence_audit",
+    r"""
+    WITH d AS (
+      SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    k AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 30),
+    c AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) JOIN k USING (lang, term) GROUP BY ALL),
+    v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+    g AS (
+      SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)),
+    p AS (
+      SELECT lang, source, term, coalesce(n, 0) AS n,
+             1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5) // CAST(total + 5 * v AS HUGEINT) AS p
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+    q AS (
+      SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 5) // CAST(total + 5 * v AS HUGEINT) AS q
+      FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) JOIN v USING (lang)
+      JOIN (SELECT lang, sum(n) AS total FROM c GROUP BY lang) USING (lang)),
+    pairs AS (
+      SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+                 GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+    terms AS (
+      SELECT lang, source, term AS item, p - q AS value, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS rank
+      FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+    SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value,
+           CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, CAST(value AS BIGINT), CAST(rank AS INTEGER) FROM terms WHERE rank <= 50
+    """,
+)
+def op12_divergence_audit(spark, folder):
+    from daybook.llm.divergence import audit
+
+    return audit(table(spark, folder, "documents"))
