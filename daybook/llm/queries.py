@@ -233,3 +233,10 @@ def op12_divergence_audit(spark, folder):
     from daybook.llm.divergence import audit
 
     return audit(table(spark, folder, "documents"))
+
+
+@query("op13_suffix_tree")
+def op13_suffix_tree(spark, folder):
+    from daybook.llm.suffix_tree import score
+
+    return score(table(spark, folder, "documents"))
