@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import as_date, fill_calendar, trading_date
+from daybook.functions.recurrence import BLOCK, chained, last_before
 from daybook.functions.skew import with_group_stats
 
 # fixed values: market code prefix (upper case) and its weight
@@ -176,25 +177,23 @@ def closing_price_chain(
     start_prices: DataFrame | None = None,
     max_stale: int = 5,
     anchor_normalised: bool = True,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Closing price per product and day, chained over days without trade.
 
     A market with a price counts with it; one without price for at most ``max_stale`` days
     counts with yesterday's product price; after that its weight is 0. So each day is
-    ``P = fixed + carried * P_yesterday`` with both parts summed per product and day, and only
-    the short per-product series of days is folded. ``start_prices`` (product_code, price)
+    ``P = fixed + carried * P_yesterday`` with both parts summed per product and day, and these steps
+    are composed in blocks of ``block`` days. ``start_prices`` (product_code, price)
     replace a missing market price on the first day. With ``anchor_normalised=False`` the first
     day is the plain weighted sum, not divided by the weights.
     """
-    by_market = Window.partitionBy("product_code", "market_code").orderBy("date")
-    priced_day = F.when(F.col("final_market_price").isNotNull(), F.col("date"))
-    last_priced = F.last(priced_day, ignorenulls=True).over(by_market)
-    first_day = F.first("date").over(by_market)
-    rows = market_prices.select("date", "product_code", "market_code", "market_price", "final_market_price",
+    rows = market_prices.select(F.unix_date("date").alias("day"), "product_code", "market_code", "market_price", "final_market_price",
                                 F.col("fixed_market_weight").alias("w"))
+    rows = last_before(rows, ["product_code", "market_code"], "day", F.col("final_market_price").isNotNull(), block)
     rows = rows.withColumn("stale", F.coalesce(
-        F.datediff("date", last_priced), F.datediff("date", first_day) + 1
-    )).withColumn("is_first", F.col("date") == first_day)
+        F.col("day") - F.col("last_marked"), F.col("day") - F.col("first_position") + 1
+    )).withColumn("is_first", F.col("day") == F.col("first_position"))
     if start_prices is not None:
         start = start_prices.select(F.col("product_code").alias("_pc"), F.col("price").alias("_start"))
         rows = rows.join(start, F.col("product_code") == F.col("_pc"), "left").drop("_pc")
@@ -202,37 +201,25 @@ def closing_price_chain(
         rows = rows.withColumn("_start", F.lit(None).cast("double"))
     use_start = F.col("is_first") & F.col("market_price").isNull() & F.col("_start").isNotNull()
     rows = rows.withColumn("own", F.when(use_start, F.col("_start")).otherwise(F.col("final_market_price")))
-    dead = ~F.col("is_first") & F.col("own").isNull() & (F.col("stale") > max_stale)
-    carried = ~F.col("is_first") & F.col("own").isNull() & (F.col("stale") <= max_stale)
+    idle = ~F.col("is_first") & F.col("own").isNull()
+    dead, carried = idle & (F.col("stale") > max_stale), idle & (F.col("stale") <= max_stale)
     weights = F.sum(F.when(dead, 0.0).otherwise(F.col("w")))
-    per_day = rows.groupBy("product_code", "date").agg(
+    per_day = rows.groupBy("product_code", "day").agg(
         F.sum(F.col("own") * F.col("w")).alias("own"),
         F.sum(F.when(carried, F.col("w"))).alias("carried"),
-        F.count(F.when(dead, 1)).alias("dead"),
+        F.max(dead).alias("dead"),
         F.when(F.coalesce(weights, F.lit(0.0)) == 0, 1.0).otherwise(weights).alias("total"),
         F.max("is_first").alias("is_first"),
     )
     divisor = F.col("total") if anchor_normalised else F.when(F.col("is_first"), 1.0).otherwise(F.col("total"))
-    step = F.struct("date", (F.col("own") / divisor).alias("fixed"), (F.col("carried") / divisor).alias("factor"),
-                    (F.col("dead") > 0).alias("dead"))
-    series = per_day.groupBy("product_code").agg(F.array_sort(F.collect_list(step)).alias("days"))
-
-    def next_price(price: Column, day: Column) -> Column:
-        chained = price * day["factor"]
-        known = day["fixed"].isNotNull() | chained.isNotNull() | day["dead"]
-        return F.when(known, F.coalesce(day["fixed"], F.lit(0.0)) + F.coalesce(chained, F.lit(0.0)))
-
-    start_state = F.struct(F.lit(None).cast("double").alias("p"), F.array().cast("array<double>").alias("all"))
-    folded = F.aggregate(
-        "days", start_state,
-        lambda acc, day: F.struct(next_price(acc["p"], day).alias("p"),
-                                  F.array_append(acc["all"], next_price(acc["p"], day)).alias("all")),
-        lambda acc: acc["all"],
-    )
-    zipped = F.arrays_zip(F.col("days.date").alias("date"), folded.alias("price"))
-    return series.select("product_code", F.explode(zipped).alias("d")).select(
-        "d.date", "product_code", F.col("d.price").alias("product_acp")
+    fixed, factor = F.coalesce("own", F.lit(0.0)) / divisor, F.coalesce("carried", F.lit(0.0)) / divisor
+    # a day has a price if a market is priced or lapsed, or yesterday has one that a market carries on
+    known = F.col("own").isNotNull() | F.col("dead")
+    steps = per_day.select(
+        "product_code", "day", F.when(known, fixed).alias("start"), F.when(known | F.col("carried").isNotNull(), fixed).alias("add"), factor.alias("factor")
     )
+    priced = chained(steps, ["product_code"], "day", block)
+    return priced.select(F.date_from_unix_date("day").alias("date"), "product_code", F.col("value").alias("product_acp"))
 
 
 def asset_prices(

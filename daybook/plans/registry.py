@@ -74,9 +74,18 @@ def rounded(column: str | Column, digits: int = 6) -> Column:
     return F.round(c.cast("double"), digits) + F.lit(0.0)
 
 
-def rounded_price(column: str | Column) -> Column:
-    """To six digits, where sums in another order still agree."""
-    return rounded(column, 6)
+def rounded_price(column: str | Column, digits: int = 6) -> Column:
+    """Rounded half up from its decimal value, three digits further.
+
+    Sums in another order differ in the last bits only; a value that lies on the border between two results is the same decimal either way.
+    """
+    c = F.col(column) if isinstance(column, str) else column
+    return F.round(c.cast("double").cast(f"decimal(28,{digits + 3})"), digits).cast("double")
+
+
+def rounded_price_sql(expression: str, digits: int = 6) -> str:
+    """The same in SQL."""
+    return f"CAST(round(CAST({expression} AS DECIMAL(28, {digits + 3})), {digits}) AS DOUBLE)"
 
 
 def cents(column: str | Column) -> Column:

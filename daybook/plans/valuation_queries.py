@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators import valuation
-from daybook.plans.registry import Tables, day_text, per_month, query, rounded, rounded_price
+from daybook.plans.registry import Tables, day_text, per_month, query, rounded, rounded_price, rounded_price_sql
 
 FIRST, LAST = "1995-01-01", "2001-12-31"
 
@@ -247,7 +247,7 @@ CHAIN_SQL = (
 
 @query(
     "closing_price_chain",
-    CHAIN_SQL + "SELECT CAST(date AS VARCHAR) AS date, item_id AS product_code, round(acp, 6) AS product_acp FROM closing",
+    CHAIN_SQL + f"SELECT CAST(date AS VARCHAR) AS date, item_id AS product_code, {rounded_price_sql('acp')} AS product_acp FROM closing",
 )
 def closing_price_chain(t: Tables):
     chained = valuation.closing_price_chain(market_prices(t), start_prices(t))
@@ -257,7 +257,7 @@ def closing_price_chain(t: Tables):
 @query(
     "asset_prices",
     CHAIN_SQL
-    + """,
+    + f""",
     assets AS (
         SELECT DISTINCT left(kind, 1) || p_type AS asset_code, p_type,
                CASE WHEN kind = 'Options' THEN 'n/a' ELSE n_name END AS location,
@@ -268,8 +268,8 @@ def closing_price_chain(t: Tables):
         SELECT a.asset_code, a.location, c.date, k.acp - a.cost AS asset_acp
         FROM calendar c CROSS JOIN assets a LEFT JOIN closing k ON k.date = c.date AND k.item_id = a.p_type)
     SELECT asset_code, location, strftime(date, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS days,
-           CAST(count(asset_acp) AS BIGINT) AS priced_days, round(arg_max(asset_acp, date), 6) AS closing_acp,
-           round(min(asset_acp), 6) AS lowest_acp
+           CAST(count(asset_acp) AS BIGINT) AS priced_days, {rounded_price_sql("arg_max(asset_acp, date)")} AS closing_acp,
+           {rounded_price_sql("min(asset_acp)")} AS lowest_acp
     FROM priced GROUP BY ALL
     """,
 )

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.functions import crypto, dates, latest, quantiles, ranks, skew, text
+from daybook.functions import crypto, dates, latest, quantiles, ranks, recurrence, skew, text
 
 
 def test_age_months_counts_whole_months(table):
@@ -133,3 +133,46 @@ def test_fill_calendar(table):
     rows = dates.fill_calendar(df, ["k"], "d", dates.as_date("2024-01-01"), dates.as_date("2024-01-03"), ["v"]).collect()
     assert len(rows) == 12 and len({(r.k, r.d) for r in rows}) == 12
     assert [(r.k, r.d.day, r.v) for r in rows if r.v is not None] == [("a", 2, 2)]
+
+
+@pytest.mark.parametrize("block", [1, 3, 512])
+def test_chained_steps(spark, block):
+    rng = random.Random(block)
+    maybe = lambda p: rng.uniform(-2, 2) if rng.random() < p else None
+    rows = []
+    for series, size in (("a", 40), ("b", 1), (None, 25), ("c", 17)):
+        for at in sorted(rng.sample(range(-30, 60), size)):
+            add = maybe(0.8)
+            rows.append((series, at, maybe(0.4), add, None if add is None else rng.uniform(-1, 1)))
+    steps = spark.createDataFrame(rows, "series string, at int, start double, add double, factor double")
+    want, value = {}, {}
+    for series, at, start, add, factor in rows:
+        before = value.get(series)
+        value[series] = want[series, at] = start if before is None else None if add is None else add + factor * before
+    got = {(r.series, r.at): r.value for r in recurrence.chained(steps.orderBy("add"), ["series"], "at", block).collect()}
+    assert got.keys() == want.keys()
+    for key, v in want.items():
+        assert got[key] == (v if v is None else pytest.approx(v)), key
+
+
+@pytest.mark.parametrize("block", [1, 4, 512])
+def test_last_marked_position(spark, block):
+    rng = random.Random(block)
+    rows = [(s, at, rng.random() < 0.2) for s in ("a", "b", None) for at in rng.sample(range(-40, 80), 50)]
+    found = recurrence.last_before(spark.createDataFrame(rows, "s string, at int, on boolean"), ["s"], "at", F.col("on"), block).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        own = [(at, on) for s, at, on in rows if s == r.s]
+        assert r.first_position == min(at for at, _ in own)
+        assert r.last_marked == max((at for at, on in own if on and at <= r.at), default=None)
+
+
+def test_a_long_series_is_many_blocks(spark):
+    days = 1_000_000
+    steps = spark.range(days).selectExpr("'a' as s", "id as at", "1D as start", "1D as add", "if(id = 777777, 0D, 0.5D) as factor")
+    found = recurrence.chained(steps, ["s"], "at")
+    ends = found.where("at in (0, 1, 777776, 777777, 777778, 999999)").orderBy("at").collect()
+    assert [r.value for r in ends] == pytest.approx([1, 1.5, 2, 1, 1.5, 2])
+    assert found.count() == days
+    # no task folds more than a block of positions or one row per block
+    assert steps.groupBy(recurrence.block_of(F.col("at"), recurrence.BLOCK)).count().agg({"count": "max"}).first()[0] <= recurrence.BLOCK

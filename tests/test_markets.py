@@ -93,8 +93,8 @@ def simulate(market_prices, start, max_stale=5):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_chain_equals_simulation(spark, seed):
+@pytest.mark.parametrize("seed,block", [(1, 512), (2, 512), (1, 7), (2, 1)])
+def test_chain_equals_simulation(spark, seed, block):
     rng = random.Random(seed)
     rows = []
     for product, markets in {"A": ["FoA", "FuA", "OpA"], "B": ["INVB"], "C": ["OpC", "FuC"]}.items():
@@ -109,7 +109,7 @@ def test_chain_equals_simulation(spark, seed):
     schema = "date date, product_code string, market_code string, market_price double, final_market_price double, fixed_market_weight double"
     df = spark.createDataFrame([tuple(r.values()) for r in rows], schema)
     start = spark.createDataFrame([("A", 4.0)], "product_code string, price double")
-    got = {(r.product_code, r.date): r.product_acp for r in valuation.closing_price_chain(df, start).collect()}
+    got = {(r.product_code, r.date): r.product_acp for r in valuation.closing_price_chain(df, start, block=block).collect()}
     want = simulate(rows, {"A": 4.0})
     assert got.keys() == want.keys()
     for key, value in want.items():
