@@ -11,10 +11,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions.ordered import before, last_value
 from daybook.functions.quantiles import exact_quantiles
 from daybook.functions.skew import attach_per_key
 
@@ -291,20 +292,20 @@ def within_historical_range(column: str, history: DataFrame, history_column: str
     return _rows_rule("within_historical_range", column, F.col(column).isNotNull(), failing)
 
 
-def reasonable_movement(column: str, order: str, partition_by: list[str], max_pct: float = 20) -> GroupRule:
+def _listed(order: str | list[str]) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def reasonable_movement(column: str, order: str | list[str], partition_by: list[str] | None = None, max_pct: float = 20) -> GroupRule:
     """Change against the row before of at most ``max_pct`` percent.
 
-    ``partition_by`` names the series; a series has one row per ``order`` value.
+    ``partition_by`` names the series; without it the table is one series. A series has one row per ``order`` value.
     """
 
-    def moved(df: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*partition_by).orderBy(order)
-        previous = F.lag(column).over(w)
-        change = F.abs(F.col(column) - F.col("previous_value")) / F.nullif(F.col("previous_value"), F.lit(0.0)) * 100
-        return df.withColumn("previous_value", previous).withColumn("change_pct", change)
-
     def failing(df: DataFrame) -> DataFrame:
-        return moved(df).where(F.col("change_pct") > max_pct)
+        change = F.abs(F.col(column) - F.col("previous_value")) / F.nullif(F.col("previous_value"), F.lit(0.0)) * 100
+        moved = before(df, partition_by, _listed(order), 1, {"previous_value": last_value(column)})
+        return moved.withColumn("change_pct", change).where(F.col("change_pct") > max_pct)
 
     return _rows_rule("reasonable_movement", column, F.col(column).isNotNull(), failing)
 
@@ -349,15 +350,13 @@ def no_duplicates(id_column: str, ts_column: str) -> GroupRule:
     return _rows_rule("no_duplicates", f"{id_column},{ts_column}", F.lit(True), failing, base=counted)
 
 
-def suspicious_volume(column: str, order: str, partition_by: list[str], window: int = 30) -> GroupRule:
-    """Values at most mean + 3 sd of the ``window`` rows before them in their series."""
-
-    def compared(df: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*partition_by).orderBy(order).rowsBetween(-window, -1)
-        return df.withColumns({"avg_volume": F.avg(column).over(w), "vol_std": F.stddev_samp(column).over(w)})
+def suspicious_volume(column: str, order: str | list[str], partition_by: list[str] | None = None, window: int = 30) -> GroupRule:
+    """Values at most mean + 3 sd of the ``window`` rows before them in their series; without ``partition_by`` the table is one series."""
 
     def failing(df: DataFrame) -> DataFrame:
-        return compared(df).where(F.col(column) > F.col("avg_volume") + F.col("vol_std") * 3)
+        stats = {"avg_volume": lambda w: F.avg(column).over(w), "vol_std": lambda w: F.stddev_samp(column).over(w)}
+        compared = before(df, partition_by, _listed(order), window, stats)
+        return compared.where(F.col(column) > F.col("avg_volume") + F.col("vol_std") * 3)
 
     return _rows_rule("suspicious_volume", column, F.col(column).isNotNull(), failing)
 

@@ -285,6 +285,41 @@ def rule_suspicious_volume(t: Tables):
                           rounded("vol_std").alias("vol_std"))
 
 
+LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
+
+
+@query(
+    "rule_reasonable_movement_in_order",
+    """
+    SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, l_quantity, previous_value, round(change_pct, 6) AS change_pct
+    FROM (SELECT *, lag(l_quantity) OVER w AS previous_value,
+                 abs(l_quantity - lag(l_quantity) OVER w) / nullif(lag(l_quantity) OVER w, 0) * 100 AS change_pct
+          FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber))
+    WHERE change_pct > 1000
+    """,
+)
+def rule_reasonable_movement_in_order(t: Tables):
+    """All lines as one series, as no column splits them."""
+    failing = q.failing_rows(t.lineitem, q.reasonable_movement("l_quantity", LINE_ORDER, max_pct=1000))
+    return failing.select("l_orderkey", "l_linenumber", day_text("l_shipdate").alias("date"), "l_quantity", "previous_value",
+                          rounded("change_pct").alias("change_pct"))
+
+
+@query(
+    "rule_suspicious_volume_in_order",
+    """
+    SELECT l_orderkey, l_linenumber, l_extendedprice, round(avg_volume, 4) AS avg_volume, round(vol_std, 4) AS vol_std
+    FROM (SELECT *, avg(l_extendedprice) OVER w AS avg_volume, stddev(l_extendedprice) OVER w AS vol_std
+          FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
+    WHERE l_extendedprice > avg_volume + 3 * vol_std
+    """,
+)
+def rule_suspicious_volume_in_order(t: Tables):
+    failing = q.failing_rows(t.lineitem, q.suspicious_volume("l_extendedprice", LINE_ORDER, window=10))
+    return failing.select("l_orderkey", "l_linenumber", "l_extendedprice", rounded("avg_volume", 4).alias("avg_volume"),
+                          rounded("vol_std", 4).alias("vol_std"))
+
+
 @query(
     "rule_balanced",
     """

@@ -1,8 +1,10 @@
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.functions import ordered
 from daybook.operators import profile, quality as q
 
 
@@ -98,3 +100,30 @@ def test_profile_and_suggestions(table):
     drafts = {(r.column, r.rule): r for r in profile.suggest_rules(df, max_set=2).collect()}
     assert set(drafts) == {("id", "not_null"), ("id", "unique"), ("id", "between"), ("v", "between"), ("s", "in_set")}
     assert drafts[("s", "in_set")]["values"] == "x,y"
+
+
+@pytest.mark.parametrize("rows,size,range_rows", [(0, 3, 10), (1, 1, 10), (200, 1, 7), (200, 30, 4), (200, 500, 20), (50, 3, 1)])
+def test_one_series_over_many_ranges(spark, rows, size, range_rows):
+    rng = random.Random(rows + size)
+    data = [(k, rng.choice([None, rng.randint(1, 9)]), rng.choice(["x", None])) for k in range(rows)]
+    day = lambda k: None if k < 3 else k // 50  # noqa: E731  long ties, and nulls first
+    rng.shuffle(data)
+    df = spark.createDataFrame([(day(k), k, v, s) for k, v, s in data], "day int, id int, v int, _nth string")
+    columns = {"total": lambda w: F.sum("v").over(w), "last": ordered.last_value("v"), "n": lambda w: F.count("*").over(w)}
+    found = ordered.rows_before(df, ["day", "id"], size, columns, range_rows).collect()
+    assert len(found) == rows
+    values = [v for _, v, _ in sorted(data, key=lambda r: r[0])]
+    for r in found:
+        own = values[max(0, r.id - size) : r.id]
+        known = [v for v in own if v is not None]
+        assert (r.total, r["last"], r.n) == (sum(known) if known else None, own[-1] if own else None, len(own))
+
+
+def test_rules_without_a_partition(spark):
+    df = spark.createDataFrame([(k, float(v)) for k, v in enumerate([10, 11, 9, 30, 31, 30, 100])], "day int, v double")
+    moved = q.failing_rows(df, q.reasonable_movement("v", "day", max_pct=50)).collect()
+    assert sorted((r.day, r.previous_value) for r in moved) == [(3, 9.0), (6, 30.0)]
+    high = q.failing_rows(df, q.suspicious_volume("v", ["day"], window=3)).collect()
+    assert sorted(r.day for r in high) == [3, 6]
+    result = q.run_suite(df, [q.suspicious_volume("v", "day", window=3)]).first()
+    assert (result.evaluated, result.failing, result.success) == (7, 2, False)
