@@ -32,7 +32,7 @@ def inventory_transactions(transactions: DataFrame, accounts: DataFrame) -> Data
     return kept.join(account, F.col("store_inventory_account_id") == F.col("_account"), "left").drop("_account")
 
 
-def _named(rows: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
+def named(rows: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     store = stores.select(F.col("id").alias("_store"), F.col("name").alias("store_name"))
     product = products.select(F.col("id").alias("_product"), F.col("name").alias("product_name"),
                               F.col("code").alias("product_code"), F.col("category_type").alias("product_category"))
@@ -52,7 +52,7 @@ def inventory_daily_balance(
     """Dense daily levels: the six measures of the last transaction are carried forward."""
     rows = inventory_transactions(transactions, accounts)
     dense = daily_balance(rows, KEYS, "created", CARRIED, through, start, tiebreak)
-    return _named(dense, stores, products)
+    return named(dense, stores, products)
 
 
 def inventory_incremental(
@@ -62,4 +62,4 @@ def inventory_incremental(
     """Latest levels of every store, product and quality, stamped with the day before ``as_of``."""
     rows = inventory_transactions(transactions, accounts)
     latest = daily_balance_incremental(rows, KEYS, "created", CARRIED, as_of, tiebreak)
-    return _named(latest, stores, products)
+    return named(latest, stores, products)

@@ -93,7 +93,7 @@ def portfolio_transactions(log: DataFrame, products: DataFrame, locations: DataF
     return moved_volume_per_location(expand_location_breakdown(described))
 
 
-def _named(rows: DataFrame, locations: DataFrame, clients: DataFrame | None) -> DataFrame:
+def named(rows: DataFrame, locations: DataFrame, clients: DataFrame | None) -> DataFrame:
     if clients is not None:
         known = clients.select(F.col("id").alias("_id"), F.col("client_id").alias("_client"))
         rows = rows.join(known, F.col("client_id") == F.col("_id"), "left").withColumn("client_id", F.col("_client"))
@@ -136,7 +136,7 @@ def portfolio_daily_balance(transactions: DataFrame, locations: DataFrame, throu
     dense = explode_days(bounded, F.col("day"), F.col("_until"), "portfolio_date").select(
         "portfolio_date", *KEYS, "_last.total_volume_after", F.col("_last.created").alias("latest_trans_at")
     )
-    return _named(dense, locations, clients)
+    return named(dense, locations, clients)
 
 
 def portfolio_incremental(transactions: DataFrame, locations: DataFrame, as_of: str | Column,
@@ -157,4 +157,4 @@ def portfolio_incremental(transactions: DataFrame, locations: DataFrame, as_of:
         *KEYS, "total_volume_after", F.col("created").alias("latest_trans_at"), "transaction_id", "position"
     )
     latest = latest_row(kept, KEYS, ["latest_trans_at", "transaction_id", "position"])
-    return _named(latest.withColumn("portfolio_date", yesterday), locations, clients)
+    return named(latest.withColumn("portfolio_date", yesterday), locations, clients)

@@ -285,7 +285,7 @@ def rule_suspicious_volume(t: Tables):
                           rounded("vol_std").alias("vol_std"))
 
 
-LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
+LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 
 @query(
@@ -294,7 +294,7 @@ LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
     SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, l_quantity, previous_value, round(change_pct, 6) AS change_pct
     FROM (SELECT *, lag(l_quantity) OVER w AS previous_value,
                  abs(l_quantity - lag(l_quantity) OVER w) / nullif(lag(l_quantity) OVER w, 0) * 100 AS change_pct
-          FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber))
+          FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity))
     WHERE change_pct > 1000
     """,
 )
@@ -310,7 +310,7 @@ def rule_reasonable_movement_in_order(t: Tables):
     """
     SELECT l_orderkey, l_linenumber, l_extendedprice, round(avg_volume, 4) AS avg_volume, round(vol_std, 4) AS vol_std
     FROM (SELECT *, avg(l_extendedprice) OVER w AS avg_volume, stddev(l_extendedprice) OVER w AS vol_std
-          FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
+          FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
     WHERE l_extendedprice > avg_volume + 3 * vol_std
     """,
 )

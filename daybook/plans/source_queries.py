@@ -9,6 +9,7 @@ from daybook.operators import balances
 from daybook.plans.registry import Tables, day_text, query
 from daybook.session import fresh_path
 from daybook.sources import documents, landed, tables
+from daybook.sources.buckets import BucketedTable
 
 KEY, IV = b"0123456789abcdef", b"fedcba9876543210"
 
@@ -61,6 +62,23 @@ def upsert(t: Tables):
     return t.spark.read.parquet(next_path)
 
 
+@query(
+    "upsert_buckets",
+    """
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 = 7 THEN 'CHANGED' WHEN o_totalprice > 400000 THEN 'LARGE' ELSE o_orderstatus END AS status
+    FROM orders
+    """,
+)
+def upsert_buckets(t: Tables):
+    """Orders in buckets; large ones arrive later, then a thousandth of all keys changes."""
+    rows = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
+    table = BucketedTable(t.spark, fresh_path(t.spark, "orders"), ["o_orderkey"])
+    table.upsert(rows.where("o_totalprice <= 400000").drop("o_totalprice"))
+    table.upsert(rows.where("o_totalprice > 400000").drop("o_totalprice").withColumn("status", F.lit("LARGE")))
+    table.upsert(rows.where("o_orderkey % 1000 = 7").drop("o_totalprice").withColumn("status", F.lit("CHANGED")))
+    return table.latest()
+
+
 @query("full_refresh", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
 def full_refresh(t: Tables):
     """Loaded with all orders, then refreshed with the finished ones."""

@@ -209,7 +209,10 @@ def portfolio_daily_balance(t: Tables):
     """,
 )
 def portfolio_incremental(t: Tables):
-    latest = portfolio.portfolio_incremental(transactions(t), portfolio_locations(t), AS_OF, portfolio_clients(t))
+    return latest_portfolio(portfolio.portfolio_incremental(transactions(t), portfolio_locations(t), AS_OF, portfolio_clients(t)))
+
+
+def latest_portfolio(latest):
     return latest.select(
         day_text("portfolio_date").alias("portfolio_date"), F.col("client_id").alias("client"), "product_code", "location",
         F.col("total_portfolio_balance").alias("balance"), day_text("latest_trans_at").alias("latest_trans"),
@@ -304,7 +307,10 @@ def inventory_daily_balance(t: Tables):
     """,
 )
 def inventory_incremental(t: Tables):
-    latest = inventory.inventory_incremental(*stock_tables(t), as_of=AS_OF, tiebreak=STOCK_TIES)
+    return latest_inventory(inventory.inventory_incremental(*stock_tables(t), as_of=AS_OF, tiebreak=STOCK_TIES))
+
+
+def latest_inventory(latest):
     return latest.select(
         day_text("inventory_date").alias("inventory_date"), "store_name", "product_code", "quality_level", "client_id",
         F.col("current_reserved_units").alias("reserved_units"), F.col("current_available_units").alias("available_units"),

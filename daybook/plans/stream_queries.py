@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.plans import history_queries  # noqa: F401  registers the queries whose SQL is shared
+from daybook.operators import inventory, portfolio
+from daybook.plans import history_queries, stock_queries  # registers the queries whose SQL is shared
 from daybook.plans.balance_queries import ACCOUNT
 from daybook.plans.registry import REGISTERED, Tables, day_text, numbers_text, query
 from daybook.session import fresh_path
+from daybook.sources.buckets import BucketedTable
 from daybook.streaming import incremental as inc
 
 #: Micro-batches, and files at least.
@@ -26,7 +28,7 @@ def arriving(t: Tables, table: DataFrame, folder: str | None = None) -> DataFram
 @query("stream_latest_balances", REGISTERED["daily_balance_incremental"].sql)
 def stream_latest_balances(t: Tables):
     """Must equal the latest balances of the whole table."""
-    state = inc.VersionedTable(t.spark, fresh_path(t.spark, "state"))
+    state = BucketedTable(t.spark, fresh_path(t.spark, "state"), ACCOUNT["keys"], buckets=16)
     snapshots = fresh_path(t.spark, "snapshots")
     inc.stream_latest_balances(
         arriving(t, t.orders), state, snapshots, as_of="2001-09-01", checkpoint=fresh_path(t.spark, "checkpoint"), **ACCOUNT
@@ -51,7 +53,7 @@ def stream_upsert(t: Tables):
     for part in (rows.where(F.col("ts") >= half), rows.where(F.col("ts") < half)):
         part.withColumn("age", -F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts").write.mode("append").parquet(folder)
     schema = t.spark.read.parquet(folder).schema
-    table = inc.VersionedTable(t.spark, fresh_path(t.spark, "table"))
+    table = BucketedTable(t.spark, fresh_path(t.spark, "table"), ["user_id", "event_type"], buckets=16)
     stream = inc.read_files(t.spark, folder, schema, files_per_batch=FILES)
     inc.stream_upsert(stream, table, ["user_id", "event_type"], fresh_path(t.spark, "checkpoint"), ["age"])
     return table.latest().drop("age")
@@ -85,3 +87,27 @@ def stream_partitions(t: Tables):
         inc.stream_partitions(arriving(t, load, folder), path, "month", checkpoint)
     stored = t.spark.read.schema(rows.schema).parquet(path)
     return stored.groupBy("month", "o_orderstatus").agg(F.count("*").alias("orders"))
+
+
+@query("stream_portfolio", REGISTERED["portfolio_incremental"].sql)
+def stream_portfolio(t: Tables):
+    """Must equal the incremental portfolio of all transactions at once, though every product's horizon is its own."""
+    state = BucketedTable(t.spark, fresh_path(t.spark, "state"), portfolio.KEYS, buckets=16)
+    snapshots = fresh_path(t.spark, "snapshots")
+    inc.stream_portfolio(
+        arriving(t, stock_queries.transactions(t)), state, snapshots, stock_queries.portfolio_locations(t), stock_queries.AS_OF,
+        fresh_path(t.spark, "checkpoint"), stock_queries.portfolio_clients(t),
+    )
+    return stock_queries.latest_portfolio(t.spark.read.parquet(snapshots))
+
+
+@query("stream_inventory", REGISTERED["inventory_incremental"].sql)
+def stream_inventory(t: Tables):
+    """Must equal the incremental inventory of all transactions at once."""
+    moves, accounts, stores, products = stock_queries.stock_tables(t)
+    state = BucketedTable(t.spark, fresh_path(t.spark, "state"), inventory.KEYS, buckets=16)
+    snapshots = fresh_path(t.spark, "snapshots")
+    inc.stream_inventory(
+        arriving(t, moves), state, snapshots, accounts, stores, products, stock_queries.AS_OF, stock_queries.STOCK_TIES, fresh_path(t.spark, "checkpoint")
+    )
+    return stock_queries.latest_inventory(t.spark.read.parquet(snapshots))
