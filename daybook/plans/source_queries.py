@@ -72,7 +72,7 @@ def upsert(t: Tables):
 def upsert_buckets(t: Tables):
     """Orders in buckets; large ones arrive later, then a thousandth of all keys changes."""
     rows = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
-    table = BucketedTable(t.spark, fresh_path(t.spark, "orders"), ["o_orderkey"])
+    table = BucketedTable(t.spark, fresh_path(t.spark, "orders"), ["o_orderkey"], buckets=32)
     table.upsert(rows.where("o_totalprice <= 400000").drop("o_totalprice"))
     table.upsert(rows.where("o_totalprice > 400000").drop("o_totalprice").withColumn("status", F.lit("LARGE")))
     table.upsert(rows.where("o_orderkey % 1000 = 7").drop("o_totalprice").withColumn("status", F.lit("CHANGED")))
