@@ -60,8 +60,10 @@ COMMENT_WORDS = set("comment comments commentlist disqus replies reply respond".
 # words that tell the state of an element, not what it is
 STATE_WORDS = set("has have with without no not is on off open opened closed enabled disabled allowed active".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# names and attributes are read once each and not given back, so that a tag without an end costs no more than its length
+TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+UNCLOSED = re.compile(r"<[!?]")
+ATTRIBUTE = re.compile(r"(?<![^\s=/\"'>])([^\s=/\"'>]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
 WORD = re.compile(r"[a-z]+")
 
 
@@ -100,6 +102,7 @@ def blocks_of(page: str) -> tuple[list[Block], dict[str, int]]:
     counts: dict[str, int] = {}
     parts: list[str] = []
     at, size = 0, len(page)
+    last = page.rfind(">") + 1  # no tag ends after this; only there are tags sought
 
     def flush() -> None:
         if parts:
@@ -119,19 +122,22 @@ def blocks_of(page: str) -> tuple[list[Block], dict[str, int]]:
                 return
 
     while at < size:
-        found = TAG.search(page, at)
+        found = TAG.search(page, at, last)
         if found is None:
-            parts.append(page[at:])
+            rest = UNCLOSED.search(page, max(at, last))
+            parts.append(page[at : rest.start() if rest else size])
             break
         parts.append(page[at : found.start()])
         at = found.end()
+        if found[0].startswith("<!--") and not found[0].endswith("-->"):
+            break
         name = (found[2] or found[5] or "").lower()
         if not name:
             continue
         closing, attributes = bool(found[1] or found[4]), found[3] or found[6] or ""
         if name in RAW:
             if not closing and not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+                end = re.compile(rf"</{re.escape(name)}\b[^>]*+>", re.I).search(page, at, last)
                 at = end.end() if end else size
             continue
         if name == "br":
