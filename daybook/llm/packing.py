@@ -68,7 +68,19 @@ def encoder(path: str) -> tuple[Callable[[str], np.ndarray], np.ndarray]:
         ends = np.zeros(max([*ranks.values(), *special.values()]) + 1, bool)
         for token, i in ranks.items():
             ends[i] = token.rstrip(b" ").endswith((b".", b"!", b"?", b"\n"))
-        return (lambda text: np.array(encoding.encode(text, allowed_special="all"), np.uint32)), ends
+        slow = []
+
+        def encode(text: str) -> np.ndarray:
+            try:
+                return np.array(encoding.encode(text, allowed_special="all"), np.uint32)
+            except ValueError:  # a run of white space beyond the stack of the pattern's engine
+                from tokenizers import Tokenizer
+
+                if not slow:
+                    slow.append(Tokenizer.from_file(path))
+                return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
+
+        return encode, ends
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
