@@ -4,11 +4,13 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import oracle
 from daybook.llm import decontaminate, exact_dedup, html_text, line_templates, packing, personal_data, repeated_text, set_join, toxicity, warc
@@ -494,3 +496,58 @@ def test_near_copies_on_one_host_keep_their_text(spark):
         want[n] = "\n\n".join([own, *shared])
     found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.text for r in found} == want
+
+
+def test_personal_data_in_texts_full_of_it(spark):
+    many = 100_000
+    texts = ["ab12345 x " * many, "a@b.c " * many, "+1 (555) 010-9999, " * 30_000, "1.2.3.4 " * many]
+    found = {r.doc_id: r for r in personal_data.report(docs_of(spark, enumerate(texts))).collect()}
+    assert [found[k].n_email for k in range(4)] == [0, many, 0, 0]
+    assert (found[2].n_phone, found[3].n_ip) == (30_000, many)
+    for k in (1, 2):
+        assert found[k].base_sha256 == hashlib.sha256(base_spans(texts[k]).encode()).hexdigest()
+
+
+def test_match_positions(spark):
+    texts = ["", "x", "MaM", "a\U0001f600MbMMccM\U0001f600\U0001f600MdM", "M1M" * 50]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", personal_data.matches(F.split("t", "M", -1)).alias("m"))
+    for r in df.collect():
+        parts, at, want = r.t.split("M"), 0, []
+        for k, part in enumerate(parts):
+            at += len(part)
+            if k % 2:
+                want.append((at - len(part), at, part))
+        assert [tuple(x) for x in r.m] == want
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<b" * 1_000_000, None), ("<b" * 1_000_000 + ">x", "x"), ("a > " + "<b" * 500_000, None), ('<a href="x>' * 100_000, ""), ("<script>" + "</script" * 200_000, ""),
+    ("<!--" * 200_000, ""), ("<div " + "a" * 1_000_000 + ">t</div>", "t"), ("<p>x<!-- a > b", "x"), ("<p>x</p><!b", "x"), ("t <!-- c --> u <3 v > w <", "t u <3 v > w <"),
+    ("<div a='x' class=\"ad\"b=c>d</div>", "d"),
+])
+def test_unclosed_markup_takes_linear_time(page, text):
+    begin = time.monotonic()
+    blocks, _ = html_text.blocks_of(page)
+    assert time.monotonic() - begin < 5
+    assert text is None or " ".join(b.text for b in blocks) == text
+
+
+def test_long_white_space_is_tokenised():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, _ = packing.encoder(path)
+    whole = Tokenizer.from_file(path)
+    for text in ("w" + " " * 1_000_000 + "z", "\n" * 1_000_000, "a" * 1_000_000):
+        assert encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(encode(" " * 3_000_000)) == 3_000_000
+
+
+def test_candidates_apart_from_spans(spark):
+    rng = random.Random(3)
+    rows = [([("n", a, a + rng.randint(1, 9), "t", "b", "a") for a in rng.sample(range(90), 12)], [(a, a + rng.randint(1, 6)) for a in rng.sample(range(90), n)]) for n in (0, 1, 5, 9)]
+    df = spark.createDataFrame(rows, "c array<struct<kind:string,start:int,end:int,text:string,before:string,after:string>>, s array<struct<start:int,end:int>>")
+    for r in df.select("c", "s", personal_data.apart(F.col("c"), F.col("s")).alias("left")).collect():
+        want = [c for c in r.c if not any(s.start < c.end and c.start < s.end for s in r.s)]
+        assert sorted(r.left) == sorted(want)
