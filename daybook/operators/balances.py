@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import as_date, hold_until_next
@@ -109,3 +109,35 @@ def balance_as_of(
 def balance_from_snapshots(snapshots: DataFrame, day: str | Column, date_col: str = "date") -> DataFrame:
     """Rows of one day of a snapshot table; on a date-partitioned table only that folder is read."""
     return snapshots.where(F.col(date_col) == as_date(day))
+
+
+def balances_as_of(
+    events: DataFrame,
+    probes: DataFrame,
+    keys: list[str],
+    ts: str,
+    values: dict[str, str],
+    day: str = "date",
+    tiebreak: list[str] | None = None,
+    status: str | None = None,
+    excluded: list[str] | None = None,
+) -> DataFrame:
+    """Last known values at the end of each day asked for: any number of (key, ``day``) rows in ``probes``, in one pass over the events.
+
+    Events are reduced to the last of each key and day inside the tasks that read them, probes to distinct ones; then both lie in one order per key,
+    of at most two rows for a day, and each probe takes the last event before it. Probes before the first event of their key are absent. Keys
+    are compared null-safe.
+    """
+    ties = [f"_t{i}" for i in range(len(tiebreak or []))]
+    narrow = keep_statuses(events, status, excluded or []).select(
+        *keys, F.to_date(ts).alias("_day"), F.col(ts).alias("latest_trans_at"), *[F.col(src).alias(out) for out, src in values.items()],
+        *[F.col(t).alias(name) for t, name in zip(tiebreak or [], ties)],
+    )
+    daily = latest_row(narrow, [*keys, "_day"], ["latest_trans_at", *ties])
+    known = daily.select(*keys, "_day", F.lit(False).alias("_asked"), F.struct(*values, "latest_trans_at").alias("_last"))
+    kind = known.schema["_last"].dataType
+    asked = probes.select(*keys, F.to_date(day).alias("_day")).distinct()
+    both = known.unionByName(asked.withColumns({"_asked": F.lit(True), "_last": F.lit(None).cast(kind)}))
+    in_order = Window.partitionBy(*keys).orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_last", F.last("_last", ignorenulls=True).over(in_order))
+    return found.where("_asked and _last is not null").select(F.col("_day").alias("date"), *keys, "_last.*")

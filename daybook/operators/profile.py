@@ -87,3 +87,43 @@ def suggest_rules(
     )
     joined = p.join(sets, F.col("column") == F.col("_s"), "left")
     return joined.select("column", F.explode(F.array_compact(drafts)).alias("d")).select("column", "d.*")
+
+
+DISTINCT_BITS, QUANTILE_SIZE = 12, 200
+
+
+def profile_parts(df: DataFrame, part: str, columns: list[str] | None = None) -> DataFrame:
+    """One row per part and column of what can be merged: counts, sums, extremes, and sketches of distinct values and of quantiles.
+
+    A part is a day, a month or a folder; its rows are read once, when it arrives or changes. The sketches have a bounded size: about 4 KB for distinct values
+    (a relative standard error of 1.6 %) and a few KB for quantiles (a rank error of about 1.3 %).
+    """
+    names = [c for c in columns or df.columns if c != part]
+    numbers = [c for c in numeric_columns(df) if c in names]
+
+    def measures(c: str) -> Column:
+        number = F.col(c).cast("double") if c in numbers else F.lit(None).cast("double")
+        text = F.lit(None).cast("string") if c in numbers else F.col(c).cast("string")
+        rows = F.count(F.lit(1))
+        quantiles = F.kll_sketch_agg_double(number, QUANTILE_SIZE) if c in numbers else F.lit(None).cast("binary")
+        return F.struct(
+            F.lit(c).alias("column"), rows.alias("n_rows"), (rows - F.count(c)).alias("n_nulls"), F.min(text).alias("min_text"), F.max(text).alias("max_text"),
+            F.min(number).alias("min"), F.max(number).alias("max"), F.sum(number).alias("sum"),
+            F.hll_sketch_agg(F.col(c).cast("string"), DISTINCT_BITS).alias("distinct"), quantiles.alias("quantiles"),
+        )
+
+    return df.groupBy(part).agg(F.array(*[measures(c) for c in names]).alias("m")).select(part, F.inline("m"))
+
+
+def profile_of_parts(parts: DataFrame) -> DataFrame:
+    """One row per column of all parts together: counts, extremes and mean are exact; ``n_distinct`` and the quartiles are estimates."""
+    merged = parts.groupBy("column").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_nulls").alias("n_nulls"), F.min("min_text").alias("min_text"), F.max("max_text").alias("max_text"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.sum("sum").alias("sum"), F.hll_union_agg("distinct").alias("distinct"),
+        F.kll_merge_agg_double(F.when(F.col("min").isNotNull(), F.col("quantiles"))).alias("quantiles"),
+    )
+    quartiles = F.when(F.col("min").isNotNull(), F.kll_sketch_get_quantile_double("quantiles", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+    return merged.select(
+        "column", "n_rows", "n_nulls", "min_text", "max_text", "min", "max", (F.col("sum") / F.nullif(F.col("n_rows") - F.col("n_nulls"), F.lit(0))).alias("mean"),
+        F.hll_sketch_estimate("distinct").alias("n_distinct"), quartiles.alias("_q"),
+    ).withColumns({n: F.col("_q")[k] for k, n in enumerate(["q1", "median", "q3"])}).drop("_q")

@@ -150,3 +150,21 @@ def daily_balance_incremental(t: Tables):
 def balance_as_of(t: Tables):
     known = balances.balance_as_of(t.orders, day="1998-06-30", **ACCOUNT)
     return known.select("o_custkey", "account_balance", day_text("latest_trans_at").alias("latest_trans"))
+
+
+@query(
+    "balances_as_of",
+    """
+    WITH daily AS (
+        SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, arg_max(o_totalprice, o_orderkey) AS balance
+        FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL),
+    probes AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) - 1 AS day FROM orders)
+    SELECT CAST(p.day AS VARCHAR) AS date, p.o_custkey, balance AS account_balance, CAST(d.day AS VARCHAR) AS latest_trans
+    FROM probes p ASOF JOIN daily d ON d.o_custkey = p.o_custkey AND d.day <= p.day
+    """,
+)
+def balances_as_of(t: Tables):
+    """The balance of every customer on the day before each of its orders, in one pass."""
+    probes = t.orders.select("o_custkey", F.date_sub("o_orderdate", 1).alias("date"))
+    known = balances.balances_as_of(t.orders, probes, **ACCOUNT)
+    return known.select(day_text("date").alias("date"), "o_custkey", "account_balance", day_text("latest_trans_at").alias("latest_trans"))

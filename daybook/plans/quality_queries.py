@@ -8,6 +8,7 @@ from daybook.operators import profile as profiles
 from daybook.operators import quality as q
 from daybook.plans.registry import Tables, day_text, query, rounded
 from daybook.session import fresh_path
+from daybook.sources.tables import replace_partitions
 
 RESULT_SQL = """
     SELECT '{rule}' AS rule, '{column}' AS "column", failing <= evaluated * (1 - {mostly}) + 1e-9 AS success, evaluated, failing,
@@ -529,3 +530,39 @@ def suggest_sql() -> str:
 @query("suggest_rules", suggest_sql())
 def suggest_rules(t: Tables):
     return profiles.suggest_rules(t.orders, exclude=["o_orderdate"])
+
+
+PART_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+
+
+def parts_sql() -> str:
+    out = []
+    for c in PART_COLUMNS:
+        number = c in PART_COLUMNS[:3]
+        extremes = (f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, NULL AS min_text, NULL AS max_text" if number
+                    else f"NULL::DOUBLE AS min, NULL::DOUBLE AS max, min({c}) AS min_text, max({c}) AS max_text")
+        mean = f"round(avg({c}), 2)" if number else "NULL::DOUBLE"
+        out.append(f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, {extremes}, {mean} AS mean,
+                       count(DISTINCT {c}) AS n_distinct, TRUE AS distinct_close, {'TRUE' if number else 'NULL::BOOLEAN'} AS quartiles_close FROM orders""")
+    return union_sql(*out)
+
+
+@query("profile_of_parts", parts_sql())
+def profile_of_parts(t: Tables):
+    """Sketches per month, stored, of which one month arrives twice; the estimates are held against the exact numbers."""
+    orders = t.orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), *PART_COLUMNS)
+    path = fresh_path(t.spark, "profile-parts")
+    parts = profiles.profile_parts(orders, "month")
+    for load in (parts, parts.where("month = '1997-03'")):
+        replace_partitions(load, path, "month")
+    merged = profiles.profile_of_parts(t.spark.read.schema(parts.schema).parquet(path))
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in PART_COLUMNS]).unpivot([], PART_COLUMNS, "_c", "_exact")
+    # the share of rows up to an estimated quartile lies within 3 % of it; one row per column
+    numbers = PART_COLUMNS[:3]
+    estimates = {r["column"]: (r.q1, r.median, r.q3) for r in merged.collect()}
+    ranks = [F.abs(F.avg((F.col(c) <= q).cast("int")) - share) <= 0.03 for c in numbers for q, share in zip(estimates[c], (0.25, 0.5, 0.75))]
+    close = orders.agg(*[(ranks[3 * k] & ranks[3 * k + 1] & ranks[3 * k + 2]).alias(c) for k, c in enumerate(numbers)]).unpivot([], numbers, "_n", "_close")
+    return merged.join(exact, F.col("column") == F.col("_c")).join(close, F.col("column") == F.col("_n"), "left").select(
+        "column", "n_rows", "n_nulls", "min", "max", "min_text", "max_text", rounded("mean", 2).alias("mean"), F.col("_exact").alias("n_distinct"),
+        (F.abs(F.col("n_distinct") - F.col("_exact")) <= F.greatest(0.06 * F.col("_exact"), F.lit(1))).alias("distinct_close"), F.col("_close").alias("quartiles_close"),
+    )

@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -119,3 +120,20 @@ def test_inventory_drops_deleted_rows(table):
     assert [(r.inventory_date.day, r.client_id, r.current_total_units) for r in rows] == [(1, "c", 3), (2, "c", 3), (3, "d", 9), (4, "d", 9)]
     last = inventory.inventory_incremental(moves, accounts, stores, products, "2024-01-05", ["id"]).collect()
     assert [(r.inventory_date, r.current_available_volume, r.store_name) for r in last] == [(date(2024, 1, 4), 5.0, "Main")]
+
+
+def test_balances_at_many_days(spark):
+    rng = random.Random(5)
+    events = [(rng.choice([1, 2, None]), datetime(2024, 1, 1) + timedelta(hours=rng.randint(0, 900)), float(n), n, rng.choice(["ok", "bad"])) for n in range(120)]
+    probes = [(k, date(2023, 12, 30) + timedelta(d)) for k in (1, 2, 3, None) for d in range(0, 45)] * 2
+    df = spark.createDataFrame(events, "k int, ts timestamp, v double, n int, s string")
+    asked = spark.createDataFrame(probes, "k int, date date")
+    found = balances.balances_as_of(df, asked, ["k"], "ts", {"balance": "v"}, tiebreak=["n"], status="s", excluded=["bad"]).collect()
+    want = {}
+    for k, day in probes:
+        past = [(ts, n, v) for key, ts, v, n, s in events if key == k and s != "bad" and ts.date() <= day]
+        if past:
+            ts, _, v = max(past)
+            want[day, k] = (v, ts)
+    assert len(found) == len(want) and {(r.date, r.k): (r.balance, r.latest_trans_at) for r in found} == want
+    assert balances.balances_as_of(df.limit(0), asked, ["k"], "ts", {"balance": "v"}).collect() == []

@@ -127,3 +127,22 @@ def test_rules_without_a_partition(spark):
     assert sorted(r.day for r in high) == [3, 6]
     result = q.run_suite(df, [q.suspicious_volume("v", "day", window=3)]).first()
     assert (result.evaluated, result.failing, result.success) == (7, 2, False)
+
+
+def test_profiles_merge(spark):
+    df = spark.range(20_000).selectExpr("id % 7 as part", "if(id % 10 = 0, null, id % 3000) as v", "concat('s', id % 50) as s", "cast(null as double) as none")
+    parts = profile.profile_parts(df, "part")
+    merged = {r["column"]: r for r in profile.profile_of_parts(parts).collect()}
+    exact = {r["column"]: r for r in profile.profile(df.drop("part")).collect()}
+    assert merged.keys() == exact.keys()
+    for c, e in exact.items():
+        m = merged[c]
+        assert (m.n_rows, m.n_nulls, m.min, m.max, m.min_text, m.max_text) == (e.n_rows, e.n_nulls, e.min, e.max, e.min_text, e.max_text)
+        assert m.n_distinct == pytest.approx(e.n_distinct, rel=0.05)
+    assert merged["v"].mean == pytest.approx(exact["v"].mean)
+    assert merged["v"].median == pytest.approx(exact["v"].median, abs=0.03 * 3000)
+    assert merged["none"].median is None
+    # the merged sketch is the sketch of all rows, whichever way they are dealt into parts
+    again = profile.profile_of_parts(profile.profile_parts(df.withColumn("part", F.col("part") % 2), "part")).where("column = 'v'").first()
+    assert again.n_distinct == merged["v"].n_distinct
+    assert profile.profile_of_parts(parts.limit(0)).collect() == []
