@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.quantiles import exact_quantiles
@@ -13,6 +14,9 @@ from daybook.functions.quantiles import exact_quantiles
 # fixed values: segment names from lowest to highest value
 SEGMENT_NAMES = ["Low Value Individual", "Mid Value Individual", "High Value Individual"]
 
+#: Points on which the elbow is fitted.
+CORESET = 20_000
+
 
 def _assembled(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="_features").transform(df)
@@ -35,21 +39,57 @@ def kmeans_segments(df: DataFrame, columns: list[str], k: int, seed: int = 42) -
     return labelled, df.sparkSession.createDataFrame(centers, "cluster int, attribute string, value double")
 
 
-def elbow(df: DataFrame, columns: list[str], ks: range = range(1, 9), seed: int = 42, max_iter: int = 100) -> DataFrame:
-    """Sum of squared distances per number of clusters, fitted as ``fit_kmeans`` does."""
-    points = _assembled(df, columns).select("_features").persist(StorageLevel.MEMORY_AND_DISK)
-    costs = []
+def nearest(columns: list[str], centroids: list[list[float]]) -> Column:
+    """Struct of the squared distance to the nearest centroid and its number; of equally near ones the first."""
+    def distance(center: list[float]) -> Column:
+        parts = [(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(columns, center)]
+        return sum(parts[1:], parts[0])
+
+    return F.array_min(F.array(*[F.struct(distance(center).alias("distance"), F.lit(i).alias("cluster")) for i, center in enumerate(centroids)]))
+
+
+def squared_errors(df: DataFrame, columns: list[str], models: dict[int, list[list[float]]]) -> DataFrame:
+    """(k, sse): the sum of squared distances to the nearest centroid for each set of centroids, all in one pass."""
+    sums = [F.struct(F.lit(k).alias("k"), F.coalesce(F.sum(nearest(columns, c)["distance"]), F.lit(0.0)).alias("sse")) for k, c in models.items()]
+    return df.agg(F.array(*sums).alias("s")).select(F.inline("s"))
+
+
+def coreset(df: DataFrame, columns: list[str], size: int = CORESET, seed: int = 42) -> DataFrame:
+    """About ``size`` weighted points that stand for all rows when clusters are sought; all rows with weight 1 if there are no more.
+
+    A row is drawn with a probability of half its share of the rows and half its share of the squared distances to the mean, and weighs
+    the inverse, so far rows are not lost and sums over the weighted points are those of the rows on average. The size does not grow with the rows.
+    """
+    squares = [F.var_pop(c) * F.count(c) for c in columns]
+    found = df.agg(F.count(F.lit(1)).alias("n"), sum(squares[1:], squares[0]).alias("spread"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    points = df.select(*columns)
+    if found["n"] <= size:
+        return points.withColumn("_weight", F.lit(1.0))
+    away = nearest(columns, [[found[f"m{i}"] for i in range(len(columns))]])["distance"]
+    share = F.lit(0.5 / found["n"]) + (away * (0.5 / found["spread"]) if found["spread"] else F.lit(0.5 / found["n"]))
+    chance = F.least(F.lit(1.0), share * size)
+    drawn = points.withColumn("_chance", chance).where(F.rand(seed) < F.col("_chance"))
+    return drawn.withColumn("_weight", 1 / F.col("_chance")).drop("_chance")
+
+
+def elbow(df: DataFrame, columns: list[str], ks: range = range(1, 9), seed: int = 42, max_iter: int = 100, size: int = CORESET) -> DataFrame:
+    """Sum of squared distances of all rows per number of clusters.
+
+    The centroids of every k are fitted on one coreset of bounded size; one more pass over the rows sums the errors of all of them.
+    """
+    rows = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    points = _assembled(coreset(rows, columns, size, seed), columns).select("_features", "_weight").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        models = {}
         for k in ks:
-            if k == 1:  # one cluster: the squared distances to the mean
-                squares = [F.var_pop(c) * F.count(c) for c in columns]
-                costs.append((1, float(df.agg(sum(squares[1:], squares[0]).alias("sse")).first()["sse"])))
-            else:
-                model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features").fit(points)
-                costs.append((k, float(model.summary.trainingCost)))
+            means = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features", weightCol="_weight") if k > 1 else None
+            centers = means.fit(points).clusterCenters() if means else [points.select(Summarizer.mean(F.col("_features"), F.col("_weight"))).first()[0]]
+            models[k] = [[float(v) for v in center] for center in centers]
+        errors = [tuple(r) for r in squared_errors(rows, columns, models).collect()]  # one row per k
     finally:
         points.unpersist()
-    return df.sparkSession.createDataFrame(costs, "k int, sse double")
+        rows.unpersist()
+    return df.sparkSession.createDataFrame(errors, "k int, sse double")
 
 
 def melt_profile(df: DataFrame, ids: list[str], columns: list[str], attribute: str = "attribute", value: str = "value") -> DataFrame:

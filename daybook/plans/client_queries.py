@@ -291,6 +291,26 @@ def elbow(t: Tables):
     return segments.elbow(scaled_matrix(t), ALL_SCALED)
 
 
+#: Centroids on the diagonal, evenly spaced from -1 to 1, for 1 to 4 clusters.
+DIAGONAL = {k: [0.0] if k == 1 else [2 * i / (k - 1) - 1 for i in range(k)] for k in range(1, 5)}
+_SCALED_ALL = ", ".join(f"(l_{c} - avg(l_{c}) OVER ()) / stddev_pop(l_{c}) OVER () AS {c}" for c in SCALED)
+
+
+def errors_sql() -> str:
+    logs = ", ".join(f"CASE WHEN {c} > 0 THEN ln({c}) ELSE 0 END AS l_{c}" for c in SCALED)
+    distance = lambda v: "(" + " + ".join(f"({c} - ({v!r}::DOUBLE)) * ({c} - ({v!r}::DOUBLE))" for c in SCALED) + ")"
+    sums = " UNION ALL ".join(f"SELECT {k} AS k, round(sum(least({', '.join(map(distance, c))})), 4) AS sse FROM scaled" for k, c in DIAGONAL.items())
+    return MATRIX_SQL + f", logs AS (SELECT {logs} FROM matrix), scaled AS (SELECT {_SCALED_ALL} FROM logs) {sums}"
+
+
+@query("squared_errors", errors_sql())
+def squared_errors(t: Tables):
+    """Errors of given centroids, as the elbow sums them for fitted ones."""
+    scaled = clients.log_scale(matrix(t).select("client_id", *SCALED), SCALED)
+    found = segments.squared_errors(scaled, SCALED, {k: [[v] * len(SCALED) for v in c] for k, c in DIAGONAL.items()})
+    return found.select("k", rounded("sse", 4).alias("sse"))
+
+
 def demographics(t: Tables):
     """Demographics of customers with pages as company websites; some values are missing or unreadable."""
     key = F.col("c_custkey")

@@ -45,6 +45,26 @@ def test_kmeans_and_elbow(spark):
     assert costs[0] > costs[1] > costs[2]
 
 
+def test_errors_of_given_centroids(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (5.0, 5.0)], "x double, y double")
+    found = segments.squared_errors(df, ["x", "y"], {1: [[0, 0]], 2: [[0, 0], [5, 5]]})
+    assert dict(map(tuple, found.collect())) == {1: 51.0, 2: 1.0}
+    assert dict(map(tuple, segments.squared_errors(df.limit(0), ["x", "y"], {1: [[0, 0]]}).collect())) == {1: 0.0}
+    assert df.select(segments.nearest(["x", "y"], [[5, 5], [1, 0], [1, 0]])["cluster"]).collect() == [(1,), (1,), (0,)]
+
+
+def test_coreset_stands_for_all_rows(spark):
+    df = spark.range(40_000).selectExpr("double(id % 4) * 10 + rand(1) as x", "if(id = 7, 1000D, rand(2)) as y")
+    points = segments.coreset(df, ["x", "y"], 2000)
+    assert 1500 < points.count() < 2500
+    assert points.where("y > 900").count() == 1  # a far row is not lost
+    assert points.agg({"_weight": "sum"}).first()[0] == pytest.approx(40_000, rel=0.1)
+    near = {r.k: r.sse for r in segments.elbow(df, ["x", "y"], range(1, 6), size=2000).collect()}
+    whole = {r.k: r.sse for r in segments.elbow(df, ["x", "y"], range(1, 6), size=100_000).collect()}
+    for k in (1, 2, 5):
+        assert near[k] == pytest.approx(whole[k], rel=0.25)
+
+
 def test_client_attributes(table):
     labels = table("client_id int, c string", (1, "x"), (2, "y"), (3, "z"))
     demo = table("client_id int, company_website string, used_referral_code string, date_of_incorporation string, created timestamp",
