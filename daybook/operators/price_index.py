@@ -90,13 +90,14 @@ def weighted_index(weights: DataFrame, base_start: str | Column, base_end: str |
     """Daily index over the products priced that day, and a sub-index per product.
 
     Both are 100 on the first day of the base period. The daily means are one row per day and
-    are joined back by day.
+    are joined back by day. They are sums of decimals (values to 8, weights to 12 digits), so they do not hang on the order of the rows.
     """
     priced = F.col("price_mt").isNotNull() & (F.col("price_mt") != 0)
     weight = F.when(priced, F.col("product_weight"))
     base = F.when(F.col("date").between(as_date(base_start), as_date(base_end)), "First Base Period")
+    value, share = (F.col("price_mt") * weight).cast("decimal(28,8)"), weight.cast("decimal(28,12)")
     per_day = weights.groupBy("date").agg(
-        (F.sum(F.col("price_mt") * weight) / F.nullif(F.sum(weight), F.lit(0.0))).alias("index_price")
+        (F.sum(value).cast("double") / F.nullif(F.sum(share).cast("double"), F.lit(0.0))).alias("index_price")
     )
     by_base = Window.partitionBy("_base").orderBy("date")
     daily = per_day.withColumn("_base", base).withColumn(
