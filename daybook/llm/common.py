@@ -92,8 +92,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashes_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of the non-empty stretches from ``start`` to ``end``: sums of a random number for each byte at its place.
+
+    A polynomial modulo 2^64 would not do: for any base it gives the Thue-Morse words and their complements one value.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    symbol = (place.astype(np.uint64) << np.uint64(8)) | data[np.repeat(start, size) + place]
+    # one step of a counter-based generator, so the numbers of two places or bytes have nothing in common
+    values = mix(symbol * ODD + mix(np.array([seed], np.uint64)))
+    return mix(np.add.reduceat(values, first) + size.astype(np.uint64))
+
+
 class Rolling:
-    """Polynomial hashes of any stretch of a byte array, modulo 2^64, over random byte values."""
+    """Polynomial sums of a byte array modulo 2^64, to choose places in a text.
+
+    Equal stretches have equal differences of sums; that different ones differ is likely, not sure, so nothing may be called equal by them.
+    """
 
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -117,9 +139,6 @@ class Rolling:
         np.cumsum(self.values[data] * self.powers[: len(data)], out=out[1:])
         return out
 
-    def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[start]) * self.inverses[start] + (end - start).astype(np.uint64))
-
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

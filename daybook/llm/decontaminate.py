@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import LOWER, Rolling, flat, slices, tidy, words
+from daybook.llm.common import LOWER, flat, hashes_of, slices, tidy, words
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -38,14 +38,14 @@ IS_WORD[48:58] = True
 IS_WORD[97:123] = True
 IS_WORD[128:] = True
 
-ROLLING = Rolling()
+SEED = 7
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of each word, and the first word of each row (with an end)."""
     data = LOWER[data]
     start, end, first = words(data, offsets, IS_WORD)
-    return ROLLING.of(ROLLING.sums(data), start, end), start, end, first
+    return hashes_of(data, start, end, SEED), start, end, first
 
 
 class Windows:

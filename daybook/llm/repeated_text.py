@@ -12,7 +12,8 @@ anchors are equal, they are repeated whole. The others are the collection whose
 Going through the columns from right to left, one symbol of every passage is inserted per round: the
 order of the passages by what follows (the row of the collection's transform) is refined by a stable distribution on the new
 symbol, and the common prefix of each neighbouring pair is the least of the old ones between them plus one. A
-string is repeated when it shares ``length`` bytes with a neighbour in the order of its column. The bytes are compared, not hashes.
+string is repeated when it shares ``length`` bytes with a neighbour in the order of its column. Here the bytes are compared, not hashes;
+that all passages around an anchor are equal is told by 64-bit BLAKE2 digests of them.
 The passages lie in files in the shared folder, ordered by anchor, and are read in sequence in blocks of ``BLOCK`` passages or one anchor.
 
 The rounds run over the columns of passages (at most ``2 * length - GRAM``), not over whole documents: one round per byte of the longest
@@ -46,7 +47,7 @@ ROLLING = Rolling(5)
 
 
 def passages(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(anchor hash, passage hash, first string, number of strings - 1, place of the anchor in the passage).
+    """(anchor hash, first string, number of strings - 1, place of the anchor in the passage) of each passage.
 
     ``data`` holds pieces of texts from ``starts`` to ``ends``, less than 2^20 bytes.
     """
@@ -59,7 +60,7 @@ def passages(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int
     string = np.flatnonzero(np.cumsum(valid)[:n] > 0)
     if not len(string):
         none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none
     sums = ROLLING.sums(data)
     grams = mix((sums[gram:] - sums[:-gram]) * ROLLING.inverses[: n - gram + 1])
     low = np.uint64((1 << PLACE_BITS) - 1)
@@ -75,9 +76,13 @@ def passages(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int
     first = string[new]
     last = string[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(string) - 1]])]
     anchor = anchor[new]
-    whole = ROLLING.of(sums, first, last + length)
-    run, place = last - first, anchor - first
-    return grams[anchor], mix(whole + (place << 20 | run).astype(np.uint64)), first, run, place
+    return grams[anchor], first, last - first, anchor - first
+
+
+def digests(data: bytes, first: np.ndarray, end: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """64-bit BLAKE2 digests of the passages from ``first`` to ``end``, told apart by ``shape`` too."""
+    out = [hashlib.blake2b(data[a:b], digest_size=8, salt=s.to_bytes(8, "little")).digest() for a, b, s in zip(first.tolist(), end.tolist(), shape.tolist())]
+    return np.frombuffer(b"".join(out), np.int64)
 
 
 def pieces(column: pa.Array, length: int, limit: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -112,8 +117,9 @@ def pieces(column: pa.Array, length: int, limit: int = SLICE) -> Iterator[tuple[
 def _anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data, starts, ends, _, _ in pieces(batch.column(0), length):
-            anchor, passage, _, _, _ = passages(data, starts, ends, length, gram)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(passage.view(np.int64))], names=["anchor", "passage"])
+            anchor, first, run, place = passages(data, starts, ends, length, gram)
+            passage = digests(data.tobytes(), first, first + run + length, place << 20 | run)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(passage)], names=["anchor", "passage"])
 
 
 def packed_place(first: np.ndarray, run: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -124,7 +130,7 @@ def packed_place(first: np.ndarray, run: np.ndarray, place: np.ndarray) -> np.nd
 def _places(batches: Iterator[pa.RecordBatch], length: int, gram: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data, starts, ends, rows, at in pieces(batch.column(2), length):
-            anchor, _, first, run, place = passages(data, starts, ends, length, gram)
+            anchor, first, run, place = passages(data, starts, ends, length, gram)
             piece = np.searchsorted(starts, first, "right") - 1
             row = pa.array(rows[piece])
             where = packed_place(first - starts[piece] + at[piece], run, place)
@@ -222,15 +228,14 @@ def _compared(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
 
 def _string_hashes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Hashes of all strings of passages (anchor, d1, d2, run, place, passage, copies), for anchors with very many."""
-    other = Rolling(17)
     for batch in batches:
         for anchor, d1, d2, run, _, passage, copies in zip(*[c.to_pylist() for c in batch.columns]):
-            data = np.frombuffer(passage, np.uint8)
             at = np.arange(run + 1)
-            pair = [r.of(r.sums(data), at, at + length).view(np.int64) for r in (ROLLING, other)]
+            found = [hashlib.blake2b(passage[k : k + length], digest_size=16).digest() for k in range(run + 1)]
+            pair = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
             same = lambda v: pa.array(np.full(run + 1, v, np.int64))  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays(
-                [same(anchor), same(d1), same(d2), pa.array(at, pa.int64()), pa.array(pair[0]), pa.array(pair[1]), same(copies)],
+                [same(anchor), same(d1), same(d2), pa.array(at, pa.int64()), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), same(copies)],
                 names=["anchor", "d1", "d2", "string", "h1", "h2", "copies"],
             )
 

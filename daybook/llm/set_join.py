@@ -30,15 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import LOWER, Rolling, components, maybe_in, mix, slices, store, tidy, without, words
+from daybook.llm.common import LOWER, ODD, components, hashes_of, maybe_in, mix, slices, store, tidy, without, words
 
 BLOCK = 1024
 LIST_BITS = 1 << 24
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False
-ROLLING = Rolling(11)
-ODD = np.uint64(0x9E3779B97F4A7C15)
+SEED = 11
 
 
 def shingle_sets(text: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -46,7 +45,7 @@ def shingle_sets(text: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndar
     for row, _, data, offsets in slices(text):
         data = LOWER[data]
         start, end, first = words(data, offsets, IS_WORD)
-        hashes = ROLLING.of(ROLLING.sums(data), start, end)
+        hashes = hashes_of(data, start, end, SEED)
         size = max(len(hashes) - width + 1, 0)
         joined = hashes[:size]
         for k in range(1, width):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import oracle
 from daybook.llm import decontaminate, exact_dedup, html_text, line_templates, packing, personal_data, repeated_text, set_join, toxicity, warc
-from daybook.llm.common import components
+from daybook.llm.common import components, hashes_of
 from daybook.llm.queries import QUERIES, SQL
 from daybook.session import fresh_path
 
@@ -551,3 +551,25 @@ def test_candidates_apart_from_spans(spark):
     for r in df.select("c", "s", personal_data.apart(F.col("c"), F.col("s")).alias("left")).collect():
         want = [c for c in r.c if not any(s.start < c.end and c.start < s.end for s in r.s)]
         assert sorted(r.left) == sorted(want)
+
+
+def thue_morse(letters, size):
+    return "".join(letters[bin(k).count("1") % 2] for k in range(size))
+
+
+@pytest.mark.parametrize("size", [256, 1024, 2048])
+def test_words_made_to_collide_stay_apart(spark, size):
+    """For any base a polynomial modulo 2^64 takes these words for equal."""
+    word, other = thue_morse("ab", size), thue_morse("ba", size)
+    start = np.array([0, size])
+    hashes = hashes_of(np.frombuffer((word + other).encode(), np.uint8), start, start + size, 7)
+    assert hashes[0] != hashes[1]
+    rows = [(1, word), (2, other), (3, word)]
+    linked = set_join.near_duplicates(docs_of(spark, rows), width=3, percent=90)
+    assert sorted(map(tuple, linked.collect())) == brute_components(rows, 3, 90)
+    benchmark = spark.createDataFrame([(9, word)], "item_id long, text string")
+    found = decontaminate.contamination(docs_of(spark, rows), benchmark)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_windows(rows, [(9, word)])
+    for many in (repeated_text.MANY, 1):
+        kept = repeated_text.remove_repeated(docs_of(spark, rows), many=many).collect()
+        assert sorted(((*r[:4], bytes(r[4])) for r in kept), key=str) == brute_repeated(rows, 200)
