@@ -11,6 +11,7 @@ from daybook.session import fresh_path
 from daybook.sources import documents, landed, tables
 from daybook.sources.buckets import BucketedTable
 
+EVENT = ["event_id", "user_id", "event_type", "value", "props"]
 KEY, IV = b"0123456789abcdef", b"fedcba9876543210"
 
 
@@ -23,15 +24,17 @@ KEY, IV = b"0123456789abcdef", b"fedcba9876543210"
 )
 def read_landed_records(t: Tables):
     """Events landed as envelopes of up to 500 records and read back."""
-    record = F.struct("event_id", "user_id", "event_type", "value", "props")
-    envelopes = t.events.groupBy(F.floor(F.col("event_id") / 500).alias("page")).agg(
-        F.to_json(F.struct(F.collect_list(record).alias("data"))).alias("value")
-    )
     path = fresh_path(t.spark, "landed")
-    envelopes.select("value").write.text(path)
+    envelopes(t).write.text(path)
     return landed.read_landed_records(t.spark, path)
 
 
+def envelopes(t: Tables):
+    record = F.struct(*EVENT)
+    pages = t.events.groupBy(F.floor(F.col("event_id") / 500).alias("page"))
+    return pages.agg(F.to_json(F.struct(F.collect_list(record).alias("data"))).alias("value")).select("value")
+
+
 @query("decrypt_columns", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def decrypt_columns(t: Tables):
     """Customer texts encrypted and decrypted; one segment is left plain and must survive."""
@@ -110,19 +113,16 @@ def replace_partitions(t: Tables):
     """Year-end balances of all years stored by date; the last year is loaded wrong first, then again twice."""
     path = fresh_path(t.spark, "snapshots")
 
-    def snapshot(year: int):
-        return balances.balance_as_of(
-            t.orders, ["o_custkey"], "o_orderdate", {"account_balance": "o_totalprice"}, f"{year}-12-31",
-            ["o_orderkey"], "o_orderstatus", ["P"],
-        ).select("date", "o_custkey", "account_balance")
-
-    *before, last = sorted(r.y for r in t.orders.select(F.year("o_orderdate").alias("y")).distinct().collect())
-    years = snapshot(last).withColumn("account_balance", F.lit(0.0))
-    for year in before:
-        years = years.unionByName(snapshot(year))
-    tables.replace_partitions(years, path, "date")
+    years = t.orders.agg(F.array_sort(F.collect_set(F.year("o_orderdate"))))
+    asked = t.orders.select("o_custkey").distinct().withColumn("year", F.explode(years.scalar()))
+    at = balances.balances_as_of(
+        t.orders, asked.withColumn("date", F.make_date("year", F.lit(12), F.lit(31))), ["o_custkey"], "o_orderdate",
+        {"account_balance": "o_totalprice"}, tiebreak=["o_orderkey"], status="o_orderstatus", excluded=["P"],
+    ).select("date", "o_custkey", "account_balance")
+    last = F.col("date") == F.make_date(F.element_at(years.scalar(), -1), F.lit(12), F.lit(31))
+    tables.replace_partitions(at.withColumn("account_balance", F.when(last, 0.0).otherwise(F.col("account_balance"))), path, "date")
     for _ in range(2):
-        tables.replace_partitions(snapshot(last), path, "date")
+        tables.replace_partitions(at.where(last), path, "date")
     return t.spark.read.parquet(path).select(day_text("date").alias("date"), "o_custkey", "account_balance")
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators import inventory, portfolio
-from daybook.plans import history_queries, stock_queries  # registers the queries whose SQL is shared
+from daybook.plans import history_queries, source_queries, stock_queries  # registers the queries whose SQL is shared
 from daybook.plans.balance_queries import ACCOUNT
 from daybook.plans.registry import REGISTERED, Tables, day_text, numbers_text, query
 from daybook.session import fresh_path
+from daybook.sources import landed
 from daybook.sources.buckets import BucketedTable
 from daybook.streaming import incremental as inc
 
@@ -111,3 +112,16 @@ def stream_inventory(t: Tables):
         arriving(t, moves), state, snapshots, accounts, stores, products, stock_queries.AS_OF, stock_queries.STOCK_TIES, fresh_path(t.spark, "checkpoint")
     )
     return stock_queries.latest_inventory(t.spark.read.parquet(snapshots))
+
+
+@query("stream_landed_records", REGISTERED["read_landed_records"].sql)
+def stream_landed_records(t: Tables):
+    """Pages landed in two parts; the stream ends after the first, starts again and reads the others."""
+    folder, out, checkpoint = (fresh_path(t.spark, name) for name in ("landed", "records", "checkpoint"))
+    pages = source_queries.envelopes(t)
+    early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (pages.where(early), pages.where(~early)):
+        part.write.mode("append").text(folder)
+        stream = landed.stream_landed_records(t.spark, folder, source_queries.EVENT, pages_per_batch=FILES)
+        inc.run_available(stream, lambda rows, batch: rows.write.mode("overwrite").parquet(f"{out}/batch={batch}"), checkpoint)
+    return t.spark.read.parquet(out).drop("batch")

@@ -22,6 +22,46 @@ def test_landed_records(spark, tmp_path):
     assert landed.read_landed_records(spark, str(tmp_path), ["id"]).columns == ["id"]
 
 
+def land(folder, name, *ids):
+    (folder / name).write_text(json.dumps({"data": [{"id": i, "v": f"v{i}"} for i in ids]}))
+
+
+def test_pages_after_the_last_one_read(spark, tmp_path):
+    for page, ids in enumerate([(1, 2), (3,), (), (4, 5)]):
+        land(tmp_path, f"page-{page:04}.json", *ids)
+    new = landed.read_landed_records(spark, str(tmp_path), ["id"], after="page-0001.json")
+    assert sorted(r.id for r in new.collect()) == ["4", "5"]
+    assert landed.read_landed_records(spark, str(tmp_path), ["id"], after="page-0003.json").count() == 0
+    (tmp_path / "page-0000.json").write_text("no envelope")  # an older page is not opened again
+    strict = spark.read.schema("data array<struct<id: string>>").option("mode", "FAILFAST").json(str(tmp_path))
+    assert strict.where("_metadata.file_name > 'page-0001.json'").count() == 2
+
+
+def test_landed_stream_goes_on_where_it_stopped(spark, tmp_path):
+    pages, out, checkpoint = tmp_path / "pages", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    pages.mkdir()
+    batches = []
+
+    def run():
+        def each(rows, batch):
+            batches.append(sorted(r.id for r in rows.collect()))
+            rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+        inc.run_available(landed.stream_landed_records(spark, str(pages), ["id", "v", "w"], pages_per_batch=1), each, checkpoint)
+
+    land(pages, "a.json", 1, 2)
+    land(pages, "b.json", 3)
+    run()
+    assert sorted(batches) == [["1", "2"], ["3"]]
+    land(pages, "c.json", 4)
+    land(pages, "d.json")
+    run()
+    run()
+    assert sorted(map(str, batches[2:])) == ["['4']", "[]"]
+    rows = spark.read.parquet(out).orderBy("id").collect()
+    assert [(r.id, r.v, r.w) for r in rows] == [(str(i), f"v{i}", None) for i in range(1, 5)]
+
+
 def test_upsert_takes_last_update(table):
     target = table("k int, v string", (1, "a"), (2, "b"), (None, "n"))
     updates = table("k int, v string", (2, "x"), (2, "y"), (3, "z"), (None, "m"))
