@@ -33,6 +33,11 @@ DATE = "2026-01-01T00:00:00Z"
 RECORDS_PER_FILE = 4000
 
 
+def sha256(column: str) -> Column:
+    """SHA-256 as 32 bytes, half of its hexadecimal text in every shuffle."""
+    return F.unhex(F.sha2(column, 256))
+
+
 def base32(column: str) -> Column:
     """Base32 of a column of 40 hexadecimal digits: five of them make four letters."""
     return F.expr(
@@ -51,8 +56,8 @@ def archive(pages: DataFrame, path: str, id_column: str = "page_id", url_column:
     rows = pages.select(
         F.col(id_column).alias("page_id"), F.col(url_column).cast("string").alias("url"), F.coalesce(F.col(payload_column).cast("string"), F.lit("")).alias("payload")
     )
-    digest, size = F.sha2("payload", 256), F.octet_length("payload").cast("long")
-    seen = rows.select("page_id", "url", digest.alias("digest"), F.sha1("payload").alias("sha1"), size.alias("size"))
+    digest, size = sha256("payload"), F.octet_length("payload").cast("long")
+    seen = rows.select("page_id", "url", digest.alias("digest"), F.unhex(F.sha1("payload")).alias("sha1"), size.alias("size"))
     counted = store(seen.groupBy("page_id", "url", "digest", "sha1", "size").count(), "warc-seen")
     groups = counted.groupBy("digest").agg(F.max("page_id").alias("keep_id"))
     joined = counted.join(groups, "digest")
@@ -62,7 +67,7 @@ def archive(pages: DataFrame, path: str, id_column: str = "page_id", url_column:
     kept = F.col("page_id").eqNullSafe(F.col("keep_id")) & F.col("first") & (F.col("copy") == 1)
     each = each.withColumn("kept", kept).withColumn("response", F.col("kept") | (F.col("size") < revisit_from))
 
-    record = lambda page, copy: F.concat(F.lit("<urn:uuid:"), F.regexp_replace(F.md5(F.concat_ws("|", "digest", F.coalesce(page.cast("string"), F.lit("")), copy)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
+    record = lambda page, copy: F.concat(F.lit("<urn:uuid:"), F.regexp_replace(F.md5(F.concat_ws("|", F.lower(F.hex("digest")), F.coalesce(page.cast("string"), F.lit("")), copy)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.col("size").cast("string"), F.lit(END + END))
     no_copy = F.lit("kept")
     own = F.when(F.col("kept"), no_copy).otherwise(F.concat_ws("|", F.coalesce("url", F.lit("")), F.col("copy").cast("string")))
@@ -76,7 +81,7 @@ def archive(pages: DataFrame, path: str, id_column: str = "page_id", url_column:
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", clean_url),
         line("Content-Type", F.lit("application/http; msgtype=response")),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32("sha1"))),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32("hex(sha1)"))),
         line("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
         line("WARC-Refers-To", F.when(revisit, record(F.col("keep_id"), no_copy))),
         line("Page-Id", F.col("page_id")),
@@ -88,11 +93,11 @@ def archive(pages: DataFrame, path: str, id_column: str = "page_id", url_column:
     headers = each.select("digest", F.col("response"), header.cast("binary").alias("header"))
     headers.write.option("compression", "zstd").parquet(f"{path}/headers")
 
-    keys = {"page_id": F.col("page_id"), "digest": F.sha2("payload", 256)}
+    keys = {"page_id": F.col("page_id"), "digest": sha256("payload")}
     others = joined.where(~F.col("page_id").eqNullSafe(F.col("keep_id"))).select("page_id", "digest")
     twice = joined.where(F.col("page_id").eqNullSafe(F.col("keep_id"))).groupBy("page_id", "digest").agg(F.sum("count").alias("n")).where("n > 1").select("page_id", "digest")
     once = one_of_each(rows.select("page_id", "payload"), keys, others.unionAll(twice), twice)
-    once = once.select(F.sha2("payload", 256).alias("digest"), F.col("payload").cast("binary").alias("payload"))
+    once = once.select(sha256("payload").alias("digest"), F.col("payload").cast("binary").alias("payload"))
     once.write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
@@ -104,9 +109,9 @@ def _window(*columns: str):
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """The original records of an archive, as bytes without the two line ends after each; payloads are checked."""
-    headers = spark.read.schema("digest string, response boolean, header binary").parquet(f"{path}/headers")
-    payloads = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
-    checked = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload does not have its digest")))
+    headers = spark.read.schema("digest binary, response boolean, header binary").parquet(f"{path}/headers")
+    payloads = spark.read.schema("digest binary, payload binary").parquet(f"{path}/payloads")
+    checked = F.when(sha256("payload") == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload does not have its digest")))
     full = headers.where("response").join(payloads, "digest", "left").select(F.concat("header", checked.cast("binary")).alias("record"))
     return full.unionAll(headers.where("not response").select(F.col("header").alias("record")))
 
