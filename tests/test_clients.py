@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime
 
 import pytest
@@ -125,6 +126,19 @@ def test_train_compare_vote(spark):
     assert models.hard_vote(votes, "id", {"tree": 1}).count() == 50
 
 
+def test_classifiers_are_fitted_side_by_side(spark):
+    met = threading.Barrier(2)
+
+    class Waiting(DecisionTreeClassifier):
+        def fit(self, dataset, params=None):
+            met.wait(60)
+            return super().fit(dataset, params)
+
+    train, test = (client_rows(spark, a, 40).withColumn("y", (F.col("cluster") == "high").cast("int")) for a in (0, 40))
+    scores, fitted = models.train_classifiers(train, test, ["income"], "y", {"a": Waiting(seed=1), "b": Waiting(seed=1)}, (False,))
+    assert [tuple(r) for r in scores.collect()] == [("a", False, 1.0, 1.0), ("b", False, 1.0, 1.0)] and list(fitted) == [("a", False), ("b", False)]
+
+
 def test_saved_model_scores_with_training_statistics(spark, tmp_path):
     path = str(tmp_path / "model")
     models.fit_save(client_rows(spark, 0, 200), models.scoring_pipeline(["region"], ["income"], "cluster", DecisionTreeClassifier(seed=1)), path)
