@@ -137,3 +137,8 @@ def test_balances_at_many_days(spark):
             want[day, k] = (v, ts)
     assert len(found) == len(want) and {(r.date, r.k): (r.balance, r.latest_trans_at) for r in found} == want
     assert balances.balances_as_of(df.limit(0), asked, ["k"], "ts", {"balance": "v"}).collect() == []
+
+
+def test_days_are_written_out_in_many_tasks(events):
+    dense = balances.daily_balance(events, through="2024-01-07", **LOG)
+    assert dense.rdd.getNumPartitions() >= 256
