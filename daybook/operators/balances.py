@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.dates import as_date, hold_until_next
 from daybook.functions.latest import first_row, latest_row
+from daybook.functions.skew import spread
 
 
 def keep_statuses(events: DataFrame, status: str | None, excluded: list[str]) -> DataFrame:
@@ -125,7 +126,7 @@ def balances_as_of(
     """Last known values at the end of each day asked for: any number of (key, ``day``) rows in ``probes``, in one pass over the events.
 
     Events are reduced to the last of each key and day inside the tasks that read them, probes to distinct ones; then both lie in one order per key,
-    of at most two rows for a day, and each probe takes the last event before it. Probes before the first event of their key are absent. Keys
+    of at most two rows for a day and spread over tasks by key, and each probe takes the last event before it. Probes before the first event of their key are absent. Keys
     are compared null-safe.
     """
     ties = [f"_t{i}" for i in range(len(tiebreak or []))]
@@ -139,5 +140,5 @@ def balances_as_of(
     asked = probes.select(*keys, F.to_date(day).alias("_day")).distinct()
     both = known.unionByName(asked.withColumns({"_asked": F.lit(True), "_last": F.lit(None).cast(kind)}))
     in_order = Window.partitionBy(*keys).orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_last", F.last("_last", ignorenulls=True).over(in_order))
+    found = spread(both, keys).withColumn("_last", F.last("_last", ignorenulls=True).over(in_order))
     return found.where("_asked and _last is not null").select(F.col("_day").alias("date"), *keys, "_last.*")

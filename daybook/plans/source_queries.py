@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.functions import crypto
+from daybook.functions.skew import spread
 from daybook.operators import balances
 from daybook.plans.registry import Tables, day_text, query
 from daybook.session import fresh_path
@@ -114,7 +115,7 @@ def replace_partitions(t: Tables):
     path = fresh_path(t.spark, "snapshots")
 
     years = t.orders.agg(F.array_sort(F.collect_set(F.year("o_orderdate"))))
-    asked = t.orders.select("o_custkey").distinct().withColumn("year", F.explode(years.scalar()))
+    asked = spread(t.orders.select("o_custkey").distinct(), ["o_custkey"]).withColumn("year", F.explode(years.scalar()))
     at = balances.balances_as_of(
         t.orders, asked.withColumn("date", F.make_date("year", F.lit(12), F.lit(31))), ["o_custkey"], "o_orderdate",
         {"account_balance": "o_totalprice"}, tiebreak=["o_orderkey"], status="o_orderstatus", excluded=["P"],

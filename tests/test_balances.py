@@ -142,3 +142,8 @@ def test_balances_at_many_days(spark):
 def test_days_are_written_out_in_many_tasks(events):
     dense = balances.daily_balance(events, through="2024-01-07", **LOG)
     assert dense.rdd.getNumPartitions() >= 256
+
+
+def test_probes_meet_events_in_many_tasks(events):
+    found = balances.balances_as_of(events, events.select("k", "ts"), ["k"], "ts", {"balance": "amount"}, day="ts")
+    assert found.rdd.getNumPartitions() >= 256
