@@ -3,17 +3,17 @@
 **Base spans** (e-mail, IP, card and phone, each checked) always count. **Candidates** come from three generous generators (``GENERATORS``)
 whose spans may overlap: loose e-mail forms, groups of digits, and letters with digits as in account numbers. Every candidate has
 features of its form and of the text around it. Gradient-boosted trees learn which candidates look like
-base spans, from at most about ``MAX_SAMPLE`` documents; a threshold for every generator is calibrated on documents held back, so that at
+base spans, from all documents but a third; a threshold for every generator is calibrated on that third, so that at
 least ``PRECISION`` of what passes is right there. Candidates that pass and overlap no base span are added.
 
 The trees are written out as one SQL expression over the candidates of a row, so scoring is part of the scan: there is no
-explode, shuffle or UDF. Only the sample's histogram and the trees pass the driver.
+explode, shuffle or UDF. Only the candidates' histogram and the trees pass the driver.
 
 Matches are found in one pass per kind: the pattern marks its matches, a split at the marks gives the pieces, and running
 lengths give the positions. The patterns have no nested repetition, so long texts cannot overflow the stack: separators inside a
 number or dots inside a domain are first replaced by a mark of the same length.
 
-Null texts count as empty. Rows repeated in the input are reported each; without candidates of both kinds in the sample nothing is added.
+Null texts count as empty. Rows repeated in the input are reported each; without candidates of both kinds nothing is added.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import store
 
-MAX_SAMPLE = 20_000
 PRECISION = 0.99
 KINDS = ["email", "ip", "card", "phone"]
 JOINER, MARK, SPARE = "\u0001", "\u0002", "\u0003"
@@ -256,7 +255,7 @@ def _tree(node) -> tuple | float:
 
 
 def fit(prepared: DataFrame, precision: float = PRECISION, rounds: int = 8) -> Model:
-    """A model from a bounded sample of rows (key, the base kinds, candidates); a third of it calibrates."""
+    """A model from rows (key, the base kinds, candidates); a third of them calibrates."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
@@ -302,16 +301,9 @@ def prepared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     return with_candidates(with_base_spans(rows, "clean"), "clean")
 
 
-def sampled(docs: DataFrame, id_column: str, max_sample: int) -> DataFrame:
-    rows = docs.count()
-    if rows <= max_sample:
-        return docs
-    return docs.where(F.pmod(F.xxhash64(F.col(id_column)), F.lit(1 << 20)) < (1 << 20) * max_sample // rows)
-
-
-def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", max_sample: int = MAX_SAMPLE, precision: float = PRECISION) -> DataFrame:
+def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", precision: float = PRECISION) -> DataFrame:
     """Per document: id, and ``spans``: (start, order of the kind, end, kind, base) sorted, ends exclusive, in code points."""
-    model = fit(prepared(sampled(docs.select(id_column, text_column), id_column, max_sample), id_column, text_column), precision)
+    model = fit(prepared(docs.select(id_column, text_column), id_column, text_column), precision)
     rows = prepared(docs, id_column, text_column)
     order = {kind: i for i, kind in enumerate([*KINDS, "number", "account"])}
 

@@ -573,3 +573,15 @@ def test_words_made_to_collide_stay_apart(spark, size):
     for many in (repeated_text.MANY, 1):
         kept = repeated_text.remove_repeated(docs_of(spark, rows), many=many).collect()
         assert sorted(((*r[:4], bytes(r[4])) for r in kept), key=str) == brute_repeated(rows, 200)
+
+
+def test_personal_data_learns_from_all_documents(spark, monkeypatch):
+    read = []
+
+    def fitted(rows, precision):
+        read.append(rows.count())
+        return personal_data.Model([], [], {})
+
+    monkeypatch.setattr(personal_data, "fit", fitted)
+    docs = spark.range(50_000).selectExpr("id AS doc_id", "concat('call +4930', 1000000 + id) AS text")
+    assert personal_data.report(docs).where("n_phone = 1").count() == 50_000 and read == [50_000]
