@@ -153,3 +153,17 @@ def test_classifier_query_uses_the_defaults(monkeypatch):
     monkeypatch.setattr(client_queries, "model_rows", lambda t: ("train", "test"))
     monkeypatch.setattr(client_queries.models, "train_classifiers", lambda *a, **k: [(a, k)])
     assert client_queries.train_classifiers(None) == (("train", "test", client_queries.MODEL_COLUMNS, "predicted_cluster"), {})
+
+
+def test_elbow_is_fitted_in_few_tasks(spark, monkeypatch):
+    tasks = []
+
+    class Watched(segments.KMeans):
+        def fit(self, dataset, params=None):
+            tasks.append(dataset.rdd.getNumPartitions())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(segments, "KMeans", Watched)
+    df = spark.range(400).selectExpr("double(id % 3 * 10) AS x", "double(id % 7) AS y").repartition(40)
+    assert [r.k for r in segments.elbow(df, ["x", "y"], range(1, 4)).orderBy("k").collect()] == [1, 2, 3]
+    assert len(tasks) == 2 and max(tasks) <= 8
