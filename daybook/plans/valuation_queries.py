@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import valuation
 from daybook.plans.registry import Tables, day_text, per_month, query, rounded, rounded_price, rounded_price_sql
+from daybook.session import fresh_path
 
 FIRST, LAST = "1995-01-01", "2001-12-31"
 
@@ -16,15 +17,27 @@ CLASSES = {
 }
 SECONDS_IN_DAY = 86400
 
+LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate", "p_type",
+        "n_nationkey", "n_name"]
+
+
+def placed_lines(t: Tables):
+    """Line items with product type and supplier place, joined once and written: trades, receipts and costs of a query all read them."""
+    if "_placed_lines" not in vars(t):
+        line = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")).join(
+            t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
+        ).join(t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey")).select(*LINE)
+        path = fresh_path(t.spark, "placed-lines")
+        line.write.parquet(path)
+        t._placed_lines = t.spark.read.schema(line.schema).parquet(path)
+    return t._placed_lines
+
 
 def lines(t: Tables):
     """Line items with product type, supplier place and a row id of all their columns."""
-    line = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")).join(
-        t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
-    ).join(t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
     record = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"))
     kind = F.element_at(F.array(*map(F.lit, ["Options", "Futures", "Forward"])), (F.col("l_linenumber") % 3 + 1).cast("int"))
-    return line.withColumns({"record": record, "kind": kind})
+    return placed_lines(t).withColumns({"record": record, "kind": kind})
 
 
 def trades(t: Tables):

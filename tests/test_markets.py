@@ -1,4 +1,4 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 import random
 
 import pytest
@@ -133,3 +133,21 @@ def test_asset_price_less_transport(table):
     rows = valuation.asset_prices(product, assets, geo, costs, {"COF": "Coffee"}, "2024-01-01", "2024-01-02").collect()
     got = {(r.asset_code, r.date.day): (r.location, r.asset_acp) for r in rows}
     assert got == {("FCOF1", 1): ("Town", 8.5), ("FCOF1", 2): ("Town", None), ("OCOF1", 1): ("n/a", 10.0), ("OCOF1", 2): ("n/a", None)}
+
+
+def test_trade_lines_are_joined_once(spark, table):
+    from types import SimpleNamespace
+
+    from daybook.plans import valuation_queries as v
+
+    line = ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, "
+            "l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    day = datetime(1996, 5, 6)
+    t = SimpleNamespace(
+        spark=spark, lineitem=table(line, (1, 1, 7, 3, 2.0, 20.0, 0.0, "N", "O", day), (1, 1, 7, 3, 2.0, 20.0, 0.0, "N", "O", day), (2, 1, 9, 3, 1.0, 5.0, 0.0, "N", "O", day)),
+        part=table("p_partkey long, p_type string", (7, "PROMO TIN")), supplier=table("s_suppkey long, s_nationkey int", (3, 1)),
+        nation=table("n_nationkey int, n_name string", (1, "CHAD")),
+    )
+    assert [(r.record_id, r.adjusted_price) for r in v.executed(t).collect()] == [("1-1-7-3-2", 16.0)]
+    trades, costs = (set(d.inputFiles()) for d in (v.trades(t), v.transport(t)))
+    assert trades and trades == costs
