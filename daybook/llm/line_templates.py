@@ -9,6 +9,8 @@
    a small one. Places and words are counted, not compared pairwise. Lines that are equal but for fields are counted as one.
 3. **Recurrence.** A template that lines of at least ``MIN_DOCS`` documents have in their chains is recurring; all these lines are dropped.
 
+Texts travel to the numbers of their lines compressed one by one; documents without such lines do not travel.
+
 Lines end at line feeds. Lines without words are kept and never a template. Null texts have no lines and stay null. Rows that repeat
 both id and text count as one document and are reported each. An empty table gives an empty result.
 """
@@ -29,6 +31,32 @@ MIN_CONSTANT = 0.6
 FIELD = "<*>"
 
 
+def zipped(df: DataFrame) -> DataFrame:
+    """``df`` with its column ``text`` compressed in ``zip``: its size in 8 bytes, then zstd; null stays null."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    others = [c for c in df.columns if c != "text"]
+    shape = df.select(*others).schema.add("zip", "binary")
+    arrow = to_arrow_schema(shape)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 1)
+        for batch in batches:
+            texts = (None if t is None else t.as_buffer() for t in batch["text"].cast(pa.large_binary()))
+            zips = [None if t is None else t.size.to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in texts]
+            columns = [*(batch[c] for c in others), pa.array(zips, pa.binary())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return df.mapInArrow(lambda b: tidy(rows(b)), shape)
+
+
+def unzipped(zips: pa.Array) -> Iterator[str | None]:
+    codec = pa.Codec("zstd")
+    for z in zips:
+        z = z.as_buffer()
+        yield None if z is None else codec.decompress(z[8:], int.from_bytes(z[:8], "little"), asbytes=True).decode()
+
+
 def _leaves(batches: Iterator[pa.RecordBatch], depth: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """(row, text) to (row, line, leaf): the number and the leaf of each line with words."""
     from daybook.llm.html_text import hashed
@@ -51,10 +79,10 @@ def masked(word: str) -> str:
 
 
 def _masked(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """(row, text, lines) to (row, line, leaf, masked) of the listed lines: their words, fields replaced, with single spaces."""
+    """(row, zip, lines) to (row, line, leaf, masked) of the listed lines: their words, fields replaced, with single spaces."""
     for batch in batches:
         out: list[tuple] = []
-        for row, text, wanted in zip(*[c.to_pylist() for c in batch.columns]):
+        for row, text, wanted in zip(batch.column(0).to_pylist(), unzipped(batch.column(1)), batch.column(2).to_pylist()):
             lines = text.split("\n")
             for entry in wanted:
                 out.append((row, entry["line"], entry["leaf"], " ".join(map(masked, lines[entry["line"]].split()))))
@@ -78,7 +106,7 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     held = store(held.withColumnRenamed("row", "of"), "line-held")
     shape = spark.createDataFrame([], "row long, line int, leaf long, masked string").schema
     arrow_masked = to_arrow_schema(shape)
-    wanted = maybe_in(texts.select("row", "text"), F.col("row"), held, "of").join(held, F.col("row") == F.col("of")).select("row", "text", "lines")
+    wanted = zipped(maybe_in(texts.select("row", "text"), F.col("row"), held, "of")).join(held, F.col("row") == F.col("of")).select("row", "zip", "lines")
     found = wanted.mapInArrow(lambda b: tidy(_masked(b, arrow_masked)), shape)
     found = store(found.withColumn("shape", F.xxhash64("masked")), "line-masked")
     shapes, rows = _shapes(found, min_docs)
@@ -144,7 +172,8 @@ def _recurring_shapes(shapes: DataFrame, rows: DataFrame, depth: int, min_docs:
 def _kept(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, lines, dropped = [], [], []
-        for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        before = unzipped(batch.column(1)) if batch.schema.names[1] == "zip" else batch.column(1).to_pylist()
+        for text, gone in zip(before, batch.column(2).to_pylist()):
             whole = text.split("\n") if text else []
             gone = set(gone or ())
             lines.append(len(whole))
@@ -162,9 +191,10 @@ def drop_recurring_lines(docs: DataFrame, id_column: str = "doc_id", text_column
     texts = texts.withColumn("row", F.xxhash64("id", "text"))
     found = store(recurring_lines(texts, **options), "line-recurring")
     gone = store(found.select("row", "line").distinct().groupBy(F.col("row").alias("of")).agg(F.collect_list("line").alias("gone")), "line-gone")
-    touched = maybe_in(texts, F.col("row"), gone, "of").join(gone, F.col("row") == F.col("of"), "left").select("id", "text", "gone")
+    touched = zipped(maybe_in(texts, F.col("row"), gone, "of")).join(gone, F.col("row") == F.col("of"), "left").select("id", "zip", "gone")
     rest = maybe_in(texts, F.col("row"), gone, "of", inside=False).select("id", "text", F.lit(None).cast("array<int>").alias("gone"))
     kind = texts.schema["id"].dataType.simpleString()
     shape = docs.sparkSession.createDataFrame([], f"`{id_column}` {kind}, n_lines long, n_dropped long, text string").schema
     arrow = to_arrow_schema(shape)
-    return rest.unionAll(touched).mapInArrow(lambda b: tidy(_kept(b, arrow)), shape)
+    kept = lambda df: df.mapInArrow(lambda b: tidy(_kept(b, arrow)), shape)
+    return kept(rest).unionAll(kept(touched))

@@ -338,6 +338,26 @@ def test_line_templates(spark):
     assert sorted(map(tuple, found)) == brute_lines(rows)
 
 
+def test_line_templates_shuffle_no_plain_text(spark):
+    """Texts travel compressed, whatever they hold, and are the same afterwards."""
+    rows = [(k, f"Posted on the web by user {k}\nß 日本 \U0001f600 line\r{k}\x00 " + "own words " * k + "\n") for k in range(30)]
+    rows += [(100, None), (101, ""), (102, "own"), rows[0], (None, rows[0][1])]
+    zipped = line_templates.zipped(docs_of(spark, rows).select("doc_id", "text")).toArrow()
+    assert list(line_templates.unzipped(zipped["zip"].combine_chunks())) == [t for _, t in rows]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = line_templates.drop_recurring_lines(docs_of(spark, rows))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        shown = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+        assert sum(r.n_dropped for r in found.collect()) == 32
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in plan
+    moved = re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: (.*)", shown)
+    assert moved and not any("text#" in columns for columns in moved)
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
