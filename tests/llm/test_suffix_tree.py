@@ -121,3 +121,22 @@ def test_better_than_words_alone(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = score(docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert found["sum(score)"] > 0.97 * found["sum(base_score)"]
+
+
+def test_larger_corpus_keeps_rare_contexts(spark):
+    """What occurs five times is learned, however large the rest is."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2][:6]
+    rows = [(i, "alpha beta gamma delta") for i in ids[:5]] + [(ids[5], "x " * 6_000_000)]
+    found = {r.doc_id: r for r in score(docs_of(spark, rows)).collect()}
+    assert found[ids[5]].n_tokens == 6_000_001
+    for i in ids[:5]:
+        assert found[i].base_score < -20 and found[i].score > -1
+
+
+@pytest.mark.parametrize("share", [0.02, 2.0])
+def test_words_outside_the_dictionary(spark, monkeypatch, share):
+    monkeypatch.setattr(suffix_tree, "DICTIONARY_SHARE", share)
+    monkeypatch.setattr(suffix_tree, "SLICE", 300)
+    rows = rows_of(8, 80)
+    found = sorted(r[-1] for r in score(docs_of(spark, rows)).collect())
+    assert found == pytest.approx(sorted(r[-1] for r in brute(rows, 3, 5e-7, 1e-6, 2.5e-7, 16.0)[0]), rel=1e-9)
