@@ -140,7 +140,7 @@ class Counts:
 
 
 def _windows(chunks: DataFrame, counts, depth: int, groups: int) -> DataFrame:
-    """(group, chunk, blob): the tokens of a chunk in a group, as the symbols before, the symbol, its row and whether it trains.
+    """(group, chunk, blob): the tokens of a chunk in a group, as the symbols before, the symbol, and its row with a bit that tells whether it trains.
 
     Groups below 0 get numbers of tokens, of known ones, and the base scores of the chunk's rows.
     """
@@ -151,9 +151,9 @@ def _windows(chunks: DataFrame, counts, depth: int, groups: int) -> DataFrame:
                 symbols = _spread(ids.as_py(), 1)[0].view(np.int32).astype(np.int64)
                 till = np.frombuffer(till.as_buffer(), np.int64)
                 if numbers.is_valid and len(numbers.values):
-                    pairs = numbers.values
+                    pairs = numbers.values.to_numpy()
                     table = np.zeros(len(pairs), np.int64)
-                    table[pairs.field("k").to_numpy()] = pairs.field("number").to_numpy()
+                    table[pairs >> 32] = pairs & NONE
                     other = symbols < 0
                     symbols[other] = table[-1 - symbols[other]]
                 size = np.diff(till, prepend=0)
@@ -164,7 +164,7 @@ def _windows(chunks: DataFrame, counts, depth: int, groups: int) -> DataFrame:
                 sums = [size, np.add.reduceat((counts.value(symbols) > 0).astype(np.int64), till - size), np.add.reduceat(base, till - size)]
                 padded = np.concatenate([np.full(depth, END), symbols])
                 before = [np.where(place >= k - 1, padded[depth - k : len(padded) - k], NONE) for k in range(1, depth + 1)]
-                columns = np.stack([*before, symbols, doc, trains[doc]])
+                columns = np.stack([*before, symbols, doc << 1 | trains[doc]]).astype(np.uint32)
                 group = (mix(before[0].astype(np.uint64)) % np.uint64(groups)).astype(np.int32 if groups > 1 << 15 else np.int16)
                 order = np.argsort(before[0] << 32 | before[min(1, depth - 1)])  # in order they take half the room
                 order = order[np.argsort(group[order], kind="stable")]
@@ -181,24 +181,28 @@ def _log10(before: np.ndarray, w: np.ndarray, trains: np.ndarray, counts: Counts
     """Of each symbol after those before it (the latest first), in the tree that the training ones give."""
     least_word, least_context, least_pair = least
     usual = lambda x: (x == END) | (counts(x) >= least_word)
-    weight, follows = trains.astype(np.float64), usual(w)
-    node, levels, keys, shorter = np.zeros(len(w), np.int64), [], None, None
-    for symbol in before:
+    key = lambda node, x: node.astype(np.int64) << 32 | x
+    follows = usual(w)
+    node, levels, keys, shorter = np.zeros(len(w), np.int32), [], None, None
+    while before:
+        symbol = before.pop(0)
         on = np.flatnonzero(node >= 0)
         on = on[symbol[on] != NONE]
         on = on[usual(symbol[on])]
-        each, of = np.unique(node[on] << 32 | symbol[on], return_inverse=True)
-        size = np.bincount(of, weight[on], len(each))
+        each, of = np.unique(key(node[on], symbol[on]), return_inverse=True)
+        size = np.bincount(of[trains[on]], minlength=len(each))
         held = size >= least_context
-        node = np.full(len(w), -1)
+        node = np.full(len(w), -1, np.int32)
         node[on] = np.where(held, np.cumsum(held) - 1, -1)[of]
+        del on, of, symbol
         parent, size = each[held] >> 32, size[held]
         at = np.flatnonzero((node >= 0) & follows)
-        each, of = np.unique(node[at] << 32 | w[at], return_inverse=True)
-        n = np.bincount(of, weight[at], len(each))
+        each, of = np.unique(key(node[at], w[at]), return_inverse=True)
+        n = np.bincount(of[trains[at]], minlength=len(each))
         held = n >= least_pair
-        pair = np.full(len(w), -1)
+        pair = np.full(len(w), -1, np.int32)
         pair[at] = np.where(held, np.cumsum(held) - 1, -1)[of]
+        del at, of
         each, n = each[held], n[held]
         s, word = each >> 32, each & NONE
         rest = 1 - np.bincount(s, (n - DISCOUNT) / size[s], len(size))
@@ -234,14 +238,14 @@ def _sums(windows: DataFrame, counts, depth: int, least: tuple[int, int, int], m
             tokens, known, base = np.concatenate(parts, axis=1)
             of = np.repeat(chunk, [x.shape[1] for x in parts])
             return pa.table([of, doc, tokens.astype(np.int64), known.astype(np.int64), base, np.zeros(len(doc))], names)
-        parts = [_spread(b, depth + 3) for b in blobs]
-        del blobs
-        whose = np.repeat(np.arange(len(parts)), [x.shape[1] for x in parts])
-        *before, w, doc, trains = np.concatenate(parts, axis=1)
-        del parts
-        each, of = np.unique(whose << 32 | doc, return_inverse=True)
-        del whose, doc
-        score = _log10([x.astype(np.int64) for x in before], w.astype(np.int64), trains, counts.value, least, min_gain)
+        sizes = [int.from_bytes(b[:8], "little") for b in blobs]
+        columns, at = np.empty((depth + 2, sum(sizes)), np.uint32), 0
+        for k, n in enumerate(sizes):
+            columns[:, at : at + n], blobs[k], at = _spread(blobs[k], depth + 2), None, at + n
+        *before, w, doc = (columns[k].copy() for k in range(depth + 2))
+        del columns
+        score = _log10(before, w, doc & 1 == 1, counts.value, least, min_gain)
+        each, of = np.unique(np.repeat(np.arange(len(sizes)), sizes) << 32 | doc >> 1, return_inverse=True)
         none = np.zeros(len(each), np.int64)
         return pa.table([chunk[each >> 32], each & NONE, none, none, none.astype(float), np.bincount(of, score)], names)
 
@@ -272,7 +276,7 @@ def score(
     known = common["word"].combine_chunks() if len(common) else pa.array([], pa.string())
     chunks = store(_encode(df, spark.sparkContext.broadcast(known)), "encoded")
     others = chunks.select("chunk", F.posexplode("others").alias("k", "word")).join(words_.where(F.col("number") > len(known)), "word", "left")
-    numbers = others.groupBy("chunk").agg(F.collect_list(F.struct("k", F.coalesce("number", F.lit(distinct + 1)).alias("number"))).alias("numbers"))
+    numbers = others.groupBy("chunk").agg(F.collect_list(F.shiftleft(F.col("k").cast("long"), 32) + F.coalesce("number", F.lit(distinct + 1))).alias("numbers"))
     whole = chunks.select("chunk", F.col("docs.held_out").alias("held"), "ids", "till").join(numbers, "chunk", "left")
 
     least = max(1, math.ceil(word_share * total)), max(min_context, math.ceil(context_share * total)), max(min_pair, math.ceil(pair_share * total))
