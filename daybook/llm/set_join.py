@@ -119,11 +119,18 @@ def _index(batches: Iterator[pa.RecordBatch], width: int, percent: int, schema:
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _contents(batches: Iterator[pa.RecordBatch], width: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], width: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row, sets in shingle_sets(batch.column(1), width):
+            columns = [batch.column(0).slice(row, len(sets)), [_identity(t)[0] for t in sets], [len(t) for t in sets], [sketch(t) for t in sets]]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _tokens(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, sets in shingle_sets(batch.column(0), width):
-            columns = [[_identity(t)[0] for t in sets], [len(t) for t in sets], [sketch(t) for t in sets], [t.tobytes() for t in sets]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            columns = [pa.array([_identity(t)[0] for t in sets], pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "tokens"])
 
 
 def allowed_difference(a, b, percent: int):
@@ -246,15 +253,21 @@ def similar_sets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     active = stars.select("h").unionAll(stars.select(F.col("lead").alias("h"))).distinct()
     chosen = store(classes.join(active, "h").select(F.col("rep").alias("chosen"), F.col("h").alias("of")), "set-chosen")
-    # not a semi join: that would be moved below the bitmap
-    needed = maybe_in(texts.select("id", "text"), F.col("id"), chosen, "chosen").join(chosen.select("chosen").distinct(), F.col("id").eqNullSafe(F.col("chosen")))
-    content = spark.createDataFrame([], "h long, n long, sketch binary, tokens binary").schema
-    content_arrow = to_arrow_schema(content)
-    sets = store(needed.select("text").mapInArrow(lambda batches: tidy(_contents(batches, width, content_arrow)), content), "set-contents")
+    # not semi joins: they would be moved below the bitmap
+    cells = spark.createDataFrame([], f"id {kind}, h long, n long, sketch binary").schema
+    cells_arrow = to_arrow_schema(cells)
+    needed = maybe_in(texts.select("id", "text"), F.col("id"), chosen, "chosen").mapInArrow(lambda batches: tidy(_sketches(batches, width, cells_arrow)), cells)
+    sets = needed.join(chosen, F.col("id").eqNullSafe(F.col("chosen")) & (F.col("h") == F.col("of"))).select("h", "n", "sketch")
+    sets = store(sets, "set-sketches")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("h").alias("a"), F.col("tokens").alias("ta"))
-        b = sets.select(F.col("h").alias("b"), F.col("tokens").alias("tb"))
+        """The stored ``pairs`` that are similar; only their own sets are built in full and shuffled."""
+        ends = pairs.select(F.col("a").alias("of")).unionAll(pairs.select(F.col("b").alias("of"))).distinct()
+        own = store(chosen.join(ends, "of").select("chosen").distinct(), "set-wanted")
+        whole = maybe_in(texts.select("id", "text"), F.col("id"), own, "chosen").join(own, F.col("id").eqNullSafe(F.col("chosen")))
+        full = store(whole.select("text").mapInArrow(lambda batches: tidy(_tokens(batches, width)), "h long, tokens binary"), "set-tokens")
+        a = full.select(F.col("h").alias("a"), F.col("tokens").alias("ta"))
+        b = full.select(F.col("h").alias("b"), F.col("tokens").alias("tb"))
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")
         return both.mapInArrow(lambda batches: tidy(_exact(batches, percent)), "a long, b long").distinct()
 

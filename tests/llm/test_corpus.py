@@ -605,3 +605,21 @@ def test_personal_data_learns_from_all_documents(spark, monkeypatch):
     monkeypatch.setattr(personal_data, "fit", fitted)
     docs = spark.range(50_000).selectExpr("id AS doc_id", "concat('call +4930', 1000000 + id) AS text")
     assert personal_data.report(docs).where("n_phone = 1").count() == 50_000 and read == [50_000]
+
+
+def test_only_sets_of_possible_pairs_are_built_in_full(spark, monkeypatch):
+    common = " ".join(f"c{i}" for i in range(70))
+    rows = [(k, common + " " + " ".join(f"u{k}x{i}" for i in range(30))) for k in range(20)]
+    rows.append((100, rows[3][1] + " more"))
+    full, real = [], set_join.store
+
+    def store(df, name):
+        out = real(df, name)
+        if "tokens" in out.columns:
+            full.append(out.count())
+        return out
+
+    monkeypatch.setattr(set_join, "store", store)
+    kept = set_join.drop_near_duplicates(docs_of(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+    assert 2 <= sum(full) <= 6
