@@ -23,6 +23,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like ``store``, in files by hash of ``key``, so a join on it shuffles only the other side; each task writes a file per bucket it has rows of."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    table = f"stored_{path.rsplit('-', 1)[-1]}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(table)
+    stored = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # forgets the name; the files have a path of their own and stay
+    return stored
+
+
 def _bitmap(hashed: DataFrame, bits: int) -> DataFrame:
     """(__w, __bits): a bitmap of the column ``__hash`` in at most ``bits / 64`` rows."""
     slots = hashed.select(F.pmod("__hash", F.lit(bits)).alias("__slot"))

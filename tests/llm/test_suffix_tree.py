@@ -140,3 +140,24 @@ def test_words_outside_the_dictionary(spark, monkeypatch, share):
     rows = rows_of(8, 80)
     found = sorted(r[-1] for r in score(docs_of(spark, rows)).collect())
     assert found == pytest.approx(sorted(r[-1] for r in brute(rows, 3, 5e-7, 1e-6, 2.5e-7, 16.0)[0]), rel=1e-9)
+
+
+def test_one_row_of_sums_for_each_text(spark, monkeypatch):
+    """However many groups the tokens of a text are dealt to, and the stored chunks are not shuffled again to get their numbers."""
+    monkeypatch.setattr(suffix_tree, "HELD", 500)
+    monkeypatch.setattr(suffix_tree, "STEP", 7)
+    monkeypatch.setattr(suffix_tree, "SLICE", 300)
+    real, counted, plans = suffix_tree._sums, [], []
+
+    def sums(windows, *rest):
+        plans.append(windows._jdf.queryExecution().executedPlan().toString())
+        out = real(windows, *rest)
+        counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_tree, "_sums", sums)
+    rows = rows_of(5, 80)
+    found = sorted(r[-1] for r in score(docs_of(spark, rows)).collect())
+    assert found == pytest.approx(sorted(r[-1] for r in brute(rows, 3, 5e-7, 1e-6, 2.5e-7, 16.0)[0]), rel=1e-9)
+    assert counted == [len(rows)]
+    assert "Bucketed: true" in plans[0]
