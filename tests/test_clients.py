@@ -1,8 +1,11 @@
+import itertools
 import threading
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from daybook.operators import attributes, clients, models, segments
@@ -126,6 +129,85 @@ def test_train_compare_vote(spark):
     assert models.hard_vote(votes, "id", {"tree": 1}).count() == 50
 
 
+def class_rows(spark, n=90):
+    """Whole numbers as features and three classes; the arrays, and the same rows in three tasks."""
+    draw = np.random.default_rng(5)
+    x = draw.integers(0, [9, 6], (n, 2)).astype(float)
+    y = (x[:, 0] + 2 * x[:, 1] + draw.integers(0, 5, n)).astype(int) // 8 % 3
+    rows = [(Vectors.dense(a), float(b)) for a, b in zip(x, y)]
+    return x, y, spark.createDataFrame(rows, ["features", "label"]).repartition(3)
+
+
+def test_ridge_is_least_squares_with_a_penalty(spark):
+    x, y, rows = class_rows(spark)
+    model = models.classifiers()["ridge"].fit(rows)
+    signs = 2.0 * (y[:, None] == np.arange(3)) - 1
+    centred = x - x.mean(0)
+    weights = np.linalg.solve(centred.T @ centred + np.eye(2), centred.T @ (signs - signs.mean(0)))
+    values = centred @ weights + signs.mean(0)
+    found = {(*r.features, r.label): (r.rawPrediction.toArray(), r.prediction) for r in model.transform(rows).collect()}
+    for row, label, expected in zip(x, y, values):
+        raw, prediction = found[(*row, label)]
+        assert raw == pytest.approx(expected, abs=1e-9) and prediction == expected.argmax()
+
+
+def boosted_by_hand(x, y, rounds, depth, rate=0.1):
+    """Probabilities after boosting with one tree per class and round, every split tried."""
+    classes = y.max() + 1
+    scores = np.tile(np.log(np.bincount(y) / len(y)), (len(y), 1))
+    cuts = [(f, (a + b) / 2) for f in range(x.shape[1]) for a, b in itertools.pairwise(np.unique(x[:, f]))]
+
+    def steps(rows, lacking, depth):
+        best = (1e-15, None)
+        for f, cut in cuts if depth else ():
+            left, right = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+            if len(left) and len(right):
+                gain = len(left) * len(right) / len(rows) * (lacking[left].mean() - lacking[right].mean()) ** 2
+                best = (gain, (left, right)) if gain > best[0] * (1 + 1e-9) else best
+        if best[1]:
+            return [s for side in best[1] for s in steps(side, lacking, depth - 1)]
+        curved = (np.abs(lacking[rows]) * (1 - np.abs(lacking[rows]))).sum()
+        return [(rows, (classes - 1) / classes * lacking[rows].sum() / curved)]
+
+    def shares():
+        grown = np.exp(scores)
+        return grown / grown.sum(1, keepdims=True)
+
+    for _ in range(rounds):
+        lacking = (y[:, None] == np.arange(classes)) - shares()
+        for k in range(classes):
+            for rows, step in steps(np.arange(len(y)), lacking[:, k], depth):
+                scores[rows, k] += rate * step
+    return shares()
+
+
+def test_boosting_grows_a_tree_per_class_and_round(spark, tmp_path):
+    x, y, rows = class_rows(spark)
+    model = models.classifiers(boosting_rounds=7)["gradient_boosting"].fit(rows)
+    expected = {(*a, b): p for a, b, p in zip(x, y, boosted_by_hand(x, y, 7, 3))}
+    model.write().save(str(tmp_path / "boosted"))
+    for fitted in (model, type(model).load(str(tmp_path / "boosted"))):
+        found = fitted.transform(rows).collect()
+        assert len(found) == len(x)
+        for r in found:
+            assert r.probability.toArray() == pytest.approx(expected[(*r.features, r.label)], abs=1e-9)
+            assert r.prediction == r.probability.toArray().argmax()
+
+
+def test_learners_refuse_rows_without_class(spark):
+    rows = spark.createDataFrame([(Vectors.dense([1.0]), 0.0), (Vectors.dense([2.0]), None)], ["features", "label"])
+    for name in ("ridge", "gradient_boosting"):
+        with pytest.raises(ValueError):
+            models.classifiers()[name].fit(rows)
+
+
+def test_boosting_leaves_out_classes_that_do_not_occur(spark):
+    rows = spark.createDataFrame([(Vectors.dense([float(i)]), 3.0 if i > 4 else 1.0) for i in range(10)], ["features", "label"])
+    found = models.classifiers(boosting_rounds=2)["gradient_boosting"].fit(rows).transform(rows)
+    assert found.where("prediction <> label").count() == 0
+    assert [r.probability[0] + r.probability[2] for r in found.collect()] == [0.0] * 10
+
+
 def test_classifiers_are_fitted_side_by_side(spark):
     met = threading.Barrier(2)
 
