@@ -1,6 +1,7 @@
 import itertools
 import threading
 from datetime import datetime
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -229,6 +230,20 @@ def test_saved_model_scores_with_training_statistics(spark, tmp_path):
     assert got[1] == "low" and got[2] == "high" and got[3] in ("low", "high")
 
 
+def test_model_rows_are_built_once(spark):
+    from daybook.plans import client_queries
+
+    rows = [(i, i % 3, None if i % 5 == 0 else float(i * 400), "AB"[i % 2]) for i in range(1, 41)]
+    customer = spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string")
+    pages = spark.createDataFrame([(1, "http://a.example.org")], "page_id long, url string")
+    train, test = client_queries.model_rows(SimpleNamespace(spark=spark, customer=customer, pages=pages))
+    for part in (train, test):  # each model plans and reads stored rows
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+    assert train.count() + test.count() == 40 and train.columns[3:] == client_queries.MODEL_COLUMNS
+    assert {r.country for r in train.union(test).collect()} == {0, 1, 2}
+
+
 def test_classifier_query_uses_the_defaults(monkeypatch):
     from daybook.plans import client_queries
 
